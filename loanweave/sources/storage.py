@@ -28,18 +28,20 @@ def first_readable(spark: SparkSession, candidates: Sequence[str]) -> DataFrame:
 
 
 def write_parquet(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
+    increment: bool = False,
 ) -> DataFrame:
     """Write snappy Parquet and return the table read back (so lineage ends here).
 
     A partitioned table is rebalanced by its partition columns first, so that each folder
     gets few files; AQE splits a partition value that is larger than the advisory size
-    over several tasks, so a hot year is not one task.
+    over several tasks, so a hot year is not one task.  ``increment`` replaces only the
+    partitions that occur in ``df`` and keeps the others.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     df.write.mode(mode).option("compression", "snappy").option(
-        "partitionOverwriteMode", "dynamic" if partition_by else "static"
+        "partitionOverwriteMode", "dynamic" if increment else "static"
     ).partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
