@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from loanweave.operators.preparation import (
     LABEL, WEIGHT, add_weight, collected_weights, feature_groups, preparation_stages,
 )
+from loanweave.session import checkpointed
 
 VALIDATION_FLAG = "_is_validation"
 
@@ -109,19 +110,12 @@ BUILDERS: dict[str, Callable] = {
 }
 
 
-def build_pipeline(
-    model: str, features: FeatureSet, p: Mapping[str, Any], total_weight: float,
-    prefix: str = "", seed: int = 42, early_stopping: bool = False,
-) -> Pipeline:
+def preparation_pipeline(model: str, features: FeatureSet, prefix: str = "") -> Pipeline:
     categorical, numeric = features.groups
-    stages = preparation_stages(
+    return Pipeline(stages=preparation_stages(
         categorical, numeric, prefix=prefix, scale=model == "logistic",
         target_encode=model == "boosting_c",
-    )
-    learner = BUILDERS[model](p, total_weight, prefix, seed)
-    if early_stopping:
-        learner = learner.setValidationIndicatorCol(VALIDATION_FLAG)
-    return Pipeline(stages=[*stages, learner])
+    ))
 
 
 def fit_model(
@@ -138,16 +132,24 @@ def fit_model(
     weights = collected_weights(train, p["class_weight"])
     if set(weights) != {0, 1}:
         raise ValueError(f"training needs both classes, found {sorted(weights)}")
-    rows = add_weight(train, weights)
-    total = 1.0
-    if model == "logistic":
-        total = rows.agg(F.sum(WEIGHT)).first()[0]
+    weighted = add_weight(train, weights)
+    prepared = preparation_pipeline(model, features, prefix).fit(weighted)
+    kept = [LABEL, WEIGHT, f"{prefix}features"]
+    matrix = prepared.transform(weighted).select(*kept)
     early = validation is not None and model.startswith("boosting")
     if early:
-        rows = rows.withColumn(VALIDATION_FLAG, F.lit(False)).unionByName(
-            add_weight(validation, weights).withColumn(VALIDATION_FLAG, F.lit(True))
+        held_out = prepared.transform(add_weight(validation, weights)).select(*kept)
+        matrix = matrix.withColumn(VALIDATION_FLAG, F.lit(False)).unionByName(
+            held_out.withColumn(VALIDATION_FLAG, F.lit(True))
         )
-    return build_pipeline(model, features, p, total, prefix, seed, early).fit(rows)
+    # The learner passes over the matrix many times: write the narrow matrix once, so that
+    # an iteration (or a lost executor) never recomputes features from the raw panel.
+    matrix = checkpointed(matrix)
+    total = matrix.agg(F.sum(WEIGHT)).first()[0]
+    learner = BUILDERS[model](p, total, prefix, seed)
+    if early:
+        learner = learner.setValidationIndicatorCol(VALIDATION_FLAG)
+    return PipelineModel(stages=[*prepared.stages, learner.fit(matrix)])
 
 
 # ------------------------------------------------------------------ prediction
@@ -237,16 +239,19 @@ def fit_stack(
         raise ValueError(f"no model of {list(models)} can be stacked")
     if len(bases) == 1:
         return fit_model(bases[0], train, features, (overrides or {}).get(bases[0]), seed=seed)
-    scored = out_of_fold(bases, train, features, folds, overrides, fold, seed)
+    scored = checkpointed(
+        out_of_fold(bases, train, features, folds, overrides, fold, seed).select(
+            LABEL, *[f"p_{n}" for n in bases]
+        )
+    )
     p = parameters("logistic", meta)
     weights = collected_weights(scored, p["class_weight"])
-    weighted = add_weight(scored, weights)
-    total = weighted.agg(F.sum(WEIGHT)).first()[0]
-    inputs = [f"p_{n}" for n in bases]
-    meta_stages = Pipeline(stages=[
-        VectorAssembler(inputCols=inputs, outputCol="features"), _logistic(p, total, "", seed)
-    ])
-    meta_model = meta_stages.fit(weighted).stages[-1]
+    assembler = VectorAssembler(inputCols=[f"p_{n}" for n in bases], outputCol="features")
+    matrix = checkpointed(
+        assembler.transform(add_weight(scored, weights)).select(LABEL, WEIGHT, "features")
+    )
+    total = matrix.agg(F.sum(WEIGHT)).first()[0]
+    meta_model = _logistic(p, total, "", seed).fit(matrix)
 
     stages = []
     for name in bases:

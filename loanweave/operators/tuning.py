@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from loanweave.operators.learning import FeatureSet, fit_model, predict_proba
 from loanweave.operators.metrics import ranked_scores, ranking_summary
 from loanweave.operators.preparation import LABEL
+from loanweave.session import checkpointed
 
 # The search spaces.  ("int", low, high, step), ("float", low, high),
 # ("log", low, high) or ("choice", values).  Leaf counts and L2 have no counterpart here.
@@ -89,18 +90,15 @@ def search(
     fold: str = "fold", seed: int = 42, space: Mapping[str, tuple] | None = None,
     fixed: Mapping[str, Any] | None = None,
 ) -> tuple[dict, list[tuple[dict, float]]]:
-    """Best parameters and every trial with its score; the sample is read once.
+    """Best parameters and every trial with its score; the sample is written once.
 
     ``fixed`` parameters are the same in every trial.
     """
-    sample = df.persist()
-    try:
-        results = [
-            (p, cross_validated_auc(model, sample, features, p, folds, fold, seed))
-            for p in ({**drawn, **(fixed or {})} for drawn in draw_trials(model, trials, seed, space))
-        ]
-    finally:
-        sample.unpersist()
+    sample = checkpointed(df)
+    results = [
+        (p, cross_validated_auc(model, sample, features, p, folds, fold, seed))
+        for p in ({**drawn, **(fixed or {})} for drawn in draw_trials(model, trials, seed, space))
+    ]
     best, _ = max(results, key=lambda r: r[1])
     return best, results
 

@@ -20,6 +20,7 @@ from loanweave.plans.catalog_cleaning import LOANS_CLEAN_SQL
 from loanweave.plans.catalog_metrics import rounded
 from loanweave.plans.catalog_panel import _REMAINING, _SPLIT, target_sql
 from loanweave.plans.registry import query, r6
+from loanweave.session import checkpointed
 
 # The registered queries run fewer rounds than the defaults; data is never reduced.
 FEW_ROUNDS = {"n_estimators": 10}
@@ -32,20 +33,13 @@ IDS = ["row_id", KEY, "split"]
 
 
 class Training:
-    """The modelling rows of one directory, held only while models are fitted."""
+    """The modelling rows of one directory, written once because models read them often."""
 
     def __init__(self, t, folds: int = 3):
         rows = dataset.training_frame(dataset.create_dataset(t.loans(), t.panel()))
-        self.rows = splits.add_fold(rows, folds)
+        self.rows = checkpointed(splits.add_fold(rows, folds))
         self.features = dataset.feature_set(self.rows)
 
-    def __enter__(self):
-        self.rows = self.rows.persist()
-        return self
-
-    def __exit__(self, *_):
-        self.rows.unpersist()
-
     def part(self, split):
         return self.rows.filter(F.col("split") == split)
 
@@ -205,70 +199,70 @@ for _number, _name in (
 
     @query(f"ml_{_number}_{_name}")
     def _(t, name=_name):
-        with Training(t) as training:
-            model = training.fit(name)
+        training = Training(t)
+        model = training.fit(name)
         return predictions(model, training.part("test"))
 
 
 @query("ml_15_stacked_model")
 def _(t):
-    with Training(t) as training:
-        model = learning.fit_stack(
-            ["logistic", "random_forest", "boosting_c"], training.part("train"), training.features,
-            overrides=OVERRIDES,
-        )
+    training = Training(t)
+    model = learning.fit_stack(
+        ["logistic", "random_forest", "boosting_c"], training.part("train"), training.features,
+        overrides=OVERRIDES,
+    )
     return predictions(model, training.part("test"))
 
 
 @query("ml_17_search_trials")
 def _(t):
-    with Training(t) as training:
-        _, results = tuning.search("logistic", training.part("train"), training.features, trials=2, folds=2, fixed=OVERRIDES["logistic"])
+    training = Training(t)
+    _, results = tuning.search("logistic", training.part("train"), training.features, trials=2, folds=2, fixed=OVERRIDES["logistic"])
     return tuning.trials_table(t.spark, results)
 
 
 @query("ml_18_predictions")
 def _(t):
-    with Training(t) as training:
-        model = training.fit("logistic")
+    training = Training(t)
+    model = training.fit("logistic")
     return learning.predict(model, training.part("test")).select("row_id", "y_proba", "y_pred")
 
 
 @query("ml_19_coefficient_importance")
 def _(t):
-    with Training(t) as training:
-        model = training.fit("logistic")
+    training = Training(t)
+    model = training.fit("logistic")
     return importance.model_importance(model, training.features, t.spark)
 
 
 @query("ml_20_gain_importance")
 def _(t):
-    with Training(t) as training:
-        model = training.fit("random_forest")
+    training = Training(t)
+    model = training.fit("random_forest")
     return importance.model_importance(model, training.features, t.spark)
 
 
 @query("ml_21_permutation_importance")
 def _(t):
-    with Training(t) as training:
-        names = ["CREDIT_SCORE", "ELTV", "CHANNEL", "delinquency_trend_6m"]
-        chosen = FeatureSet(names, ("CHANNEL",))
-        model = learning.fit_model("logistic", training.part("train"), chosen, OVERRIDES["logistic"])
+    training = Training(t)
+    names = ["CREDIT_SCORE", "ELTV", "CHANNEL", "delinquency_trend_6m"]
+    chosen = FeatureSet(names, ("CHANNEL",))
+    model = learning.fit_model("logistic", training.part("train"), chosen, OVERRIDES["logistic"])
     return importance.permutation_importance(model, training.part("test"), chosen, "row_id", repeats=2)
 
 
 @query("ml_22_stack_importance")
 def _(t):
     bases = ["logistic", "random_forest"]
-    with Training(t) as training:
-        model = learning.fit_stack(bases, training.part("train"), training.features, overrides=OVERRIDES)
+    training = Training(t)
+    model = learning.fit_stack(bases, training.part("train"), training.features, overrides=OVERRIDES)
     return importance.stack_importance(model, bases, t.spark)
 
 
 @query("ord_02_top_features")
 def _(t):
-    with Training(t) as training:
-        model = training.fit("random_forest")
+    training = Training(t)
+    model = training.fit("random_forest")
     return importance.top_features(importance.model_importance(model, training.features, t.spark), 15)
 
 
@@ -287,24 +281,24 @@ def _(t):
 
 @query("cal_03_across_folds")
 def _(t):
-    with Training(t) as training:
-        fitted = calibration.calibrate_across_folds(
-            lambda rows: learning.fit_model("logistic", rows, training.features, OVERRIDES["logistic"]),
-            training.part("train"),
-        )
+    training = Training(t)
+    fitted = calibration.calibrate_across_folds(
+        lambda rows: learning.fit_model("logistic", rows, training.features, OVERRIDES["logistic"]),
+        training.part("train"),
+    )
     return fitted.transform(training.part("test")).select("row_id", "calibrated")
 
 
 @query("cal_04_calibrated_probabilities")
 def _(t):
-    with Training(t) as training:
-        model = training.fit("logistic")
-        calibrator = calibration.fit_calibrator(predictions(model, training.part("validation")))
+    training = Training(t)
+    model = training.fit("logistic")
+    calibrator = calibration.fit_calibrator(predictions(model, training.part("validation")))
     return calibrator.both_classes(predictions(model, training.part("test")))
 
 
 @query("sco_05_batch_scores")
 def _(t):
-    with Training(t) as training:
-        model = training.fit("logistic")
+    training = Training(t)
+    model = training.fit("logistic")
     return learning.score_customers(model, training.part("test"), "logistic", "row_id")
