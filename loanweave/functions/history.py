@@ -28,12 +28,14 @@ class History:
     key: str = KEY
     time: str = TIME
     by: str = "rows"
-    tie_break: tuple[str, ...] = ()
     segment: str | None = None
+    position: str | None = None
 
     def __post_init__(self):
         if self.by not in ("rows", "months"):
             raise ValueError(f"frames are measured in rows or months, not {self.by!r}")
+        if self.by == "months" and self.segment is not None:
+            raise ValueError("segments overlap by rows, so calendar frames cannot use them")
 
     @property
     def partition(self) -> list[str]:
@@ -41,7 +43,7 @@ class History:
 
     @property
     def ordered(self) -> WindowSpec:
-        return Window.partitionBy(*self.partition).orderBy(self.time, *self.tie_break)
+        return Window.partitionBy(*self.partition).orderBy(self.position or self.time)
 
     @property
     def so_far(self) -> WindowSpec:
@@ -68,6 +70,12 @@ class History:
             return F.lag(column, n).over(self.ordered)
         return F.max(column).over(self._measured(-n, -n))
 
+    def row_position(self) -> Column:
+        """1-based position of the row in the whole history."""
+        if self.position is not None:
+            return F.col(self.position)
+        return F.row_number().over(self.ordered)
+
     # Running aggregates.  A segmented history adds what earlier segments carried
     # in (columns ``_carry_<name>``) and counts only rows the segment owns.
 

@@ -6,7 +6,7 @@ The input is the cleaned performance panel joined to the cleaned origination tab
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from loanweave.columns import KEY, LINEAGE, TIME
 from loanweave.functions import expressions as x
@@ -64,17 +64,17 @@ def delinquency_features(
         ),
         "_late_rows": history.running_sum(F.col("is_delinquent"), "late_rows"),
         "_clear_rows": history.running_sum(1 - F.col("is_delinquent"), "clear_rows"),
+        "_at": history.row_position(),
     })
     if legacy_streak:
         # Every late row of a loan shares one streak, so the length is a running count.
         streak, length = F.lit(0).cast("bigint"), F.col("_late_rows")
     else:
-        # A streak is the set of late rows that follow the same number of clear rows.
-        late_at_clear = history.running_max(
-            F.when(~is_late, F.col("_late_rows")), "late_at_last_clear"
-        )
+        # A streak is the set of late rows that follow the same number of clear rows; its
+        # length so far is the distance to the last clear row.
+        last_clear = history.running_max(F.when(~is_late, F.col("_at")), "last_clear")
         streak = F.col("_clear_rows")
-        length = F.col("_late_rows") - F.coalesce(late_at_clear, F.lit(0))
+        length = F.col("_at") - F.coalesce(last_clear, F.lit(0))
     return df.withColumns({
         "delinquency_streak_id": F.when(is_late, streak),
         "consecutive_delinquent_months": F.when(is_late, length).otherwise(0).cast("int"),
@@ -84,7 +84,29 @@ def delinquency_features(
         "delinquency_trend_6m": F.coalesce(
             F.col("max_delinquency_6m") - F.col("max_delinquency_3m"), F.lit(0)
         ),
-    }).drop("_late_rows", "_clear_rows")
+    }).drop("_late_rows", "_clear_rows", "_at")
+
+
+def running_values(history: History) -> tuple[dict[str, Column], dict[str, Column]]:
+    """What the running features accumulate: (maxima, sums) over the raw columns.
+
+    A segmented history carries these from one segment into the next.
+    """
+    late = F.coalesce(F.col("CURRENT_LOAN_DELINQUENCY_STATUS").cast("int"), F.lit(0)) > 0
+    flag, deferral = F.col("MODIFICATION_FLAG"), F.col("PAYMENT_DEFERRAL_FLAG")
+    maxima = {
+        "last_delinquent_month": F.when(late, F.col(history.time)),
+        "last_clear": F.when(~late, history.row_position()),
+        "ever_modified": F.when(flag.isin(1, 2), 1).otherwise(0),
+        "last_modification_month": F.when(flag.eqNullSafe(1), F.col(history.time)),
+    }
+    sums = {
+        "late_rows": F.when(late, 1).otherwise(0),
+        "clear_rows": F.when(late, 0).otherwise(1),
+        "num_modifications": F.when(flag.eqNullSafe(1), 1).otherwise(0),
+        "payment_deferral_count": F.when(deferral.isin(1, 2), 1).otherwise(0),
+    }
+    return maxima, sums
 
 
 def balance_features(df: DataFrame, history: History = History()) -> DataFrame:

@@ -10,6 +10,7 @@ from loanweave.columns import CATEGORICAL_FEATURES, DROP_FEATURES, KEY, TARGET,
 from loanweave.functions.history import History
 from loanweave.operators import cleaning, features, loans, splits, target
 from loanweave.operators.learning import FeatureSet
+from loanweave.operators.long_history import features_and_target
 from loanweave.operators.preparation import LABEL
 from loanweave.sources import ingest, storage
 
@@ -19,15 +20,17 @@ def create_dataset(
     threshold: int = target.THRESHOLD_DAYS, lookahead: int = target.LOOKAHEAD,
     history: History = History(), validation_fraction: float = 0.2, seed: int = 42,
     drop: Sequence[str] = DROP_FEATURES,
+    max_history_rows: int | None = None, row_id: str | None = None,
 ) -> DataFrame:
     """Modelling rows with their split.
 
     One plan: the panel is shuffled by loan once and every feature, target and filter
-    window reuses that exchange and its sort.
+    window reuses that exchange and its sort.  That needs histories that fit a task, which
+    unique months guarantee; ``max_history_rows`` checks, and segments longer histories.
     """
     clean_loans, clean_panel = cleaning.clean_both(origination, performance)
-    rows = features.create_all_features(clean_loans, clean_panel, history)
-    labelled = target.create_target(rows, threshold, lookahead, history)
+    joined = features.join_static(clean_panel, clean_loans, history.key)
+    labelled = features_and_target(joined, row_id, history, max_history_rows, threshold, lookahead)
     selected = loans.select_model_columns(labelled, drop)
     return splits.split_out_of_time(selected, validation_fraction=validation_fraction, seed=seed)
 
