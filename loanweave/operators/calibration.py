@@ -17,6 +17,7 @@ from loanweave.operators.preparation import LABEL
 from loanweave.operators.ranking import score_histogram
 
 PLATT_C = 1e6
+RESOLUTION = 6
 
 
 class Calibrator:
@@ -40,14 +41,19 @@ class Calibrator:
         return self.transform(df, score, "proba_1").withColumn("proba_0", 1 - F.col("proba_1"))
 
 
-def fit_calibrator(scored: DataFrame, method: str = "isotonic") -> Calibrator:
+def fit_calibrator(
+    scored: DataFrame, method: str = "isotonic", resolution: int | None = RESOLUTION
+) -> Calibrator:
     """Fit on ``y_true`` and ``y_proba``.
 
-    Equal scores are collapsed to one weighted row first.  That leaves the fit unchanged and
-    keeps what isotonic regression has to pool down to the distinct scores.
+    Equal scores are collapsed to one weighted row first, which leaves the fit unchanged.
+    Isotonic regression finishes its pooling on the driver, so scores are told apart to
+    ``resolution`` decimals: at most a million weighted points, however many rows.
     """
     if method not in ("isotonic", "sigmoid"):
         raise ValueError(f"method is isotonic or sigmoid, not {method!r}")
+    if resolution is not None:
+        scored = scored.withColumn("y_proba", F.round("y_proba", resolution))
     histogram = score_histogram(scored)
     if method == "isotonic":
         points = histogram.select(

@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loanweave.columns import RISK_BANDS
 from loanweave.functions.expressions import share
-from loanweave.operators.ranking import hash_rank, running_totals, score_histogram
+from loanweave.operators.ranking import (
+    BUCKET_ROWS, hash_rank, running_totals, score_histogram, value_edges,
+)
 
 LOG_LOSS_EPSILON = 2.220446049250313e-16
 SUMMARY = (
@@ -78,9 +80,16 @@ def row_metrics(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 # ------------------------------------------------------------------ ranking metrics
 
 
-def ranked_scores(df: DataFrame, by: Sequence[str] = (), **options) -> DataFrame:
-    """Score histogram with running counts from the highest score down."""
-    return running_totals(score_histogram(df, by=by), "y_proba", ["pos", "neg"], by, **options)
+def ranked_scores(
+    df: DataFrame, by: Sequence[str] = (), bucket_rows: int = BUCKET_ROWS,
+    sums: Sequence[str] = ("pos", "neg"),
+) -> DataFrame:
+    """Score histogram with running counts from the highest score down.
+
+    ``df`` is read twice (bucket edges, histogram): write costly scores to a table first.
+    """
+    edges = value_edges(df, "y_proba", bucket_rows)
+    return running_totals(score_histogram(df, by=by), "y_proba", sums, by, edges=edges)
 
 
 def _curve_columns() -> dict[str, Column]:
@@ -272,7 +281,7 @@ def decile_table(
     Scores that fit one decile are summed straight from the histogram.  At most ``k - 1``
     scores can straddle a boundary; only their rows are ranked one by one.
     """
-    ranked = running_totals(score_histogram(df), "y_proba", ["n"], **options)
+    ranked = ranked_scores(df, sums=["n"], **options)
 
     def decile(rank: Column) -> Column:
         steps = F.ceil(rank.cast("double") * deciles / F.greatest(F.lit(1), F.col("all_n") - 1))

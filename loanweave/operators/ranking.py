@@ -46,6 +46,22 @@ def bucket_edges(df: DataFrame, order: str, bucket_rows: int = BUCKET_ROWS) -> l
     return sorted(set(edges))
 
 
+def value_edges(rows: DataFrame, order: str, bucket_rows: int = BUCKET_ROWS) -> list[float]:
+    """Edges for a histogram of ``order``, taken from the rows that will be counted.
+
+    One map-side sketch of one column says whether a single bucket is enough; only beyond
+    that are quantiles needed.  They are weighted by rows, so a bucket's distinct values are
+    at most its share of the rows, and a hot value is one histogram row wherever it falls.
+    """
+    sketch = F.hll_sketch_estimate(F.hll_sketch_agg(F.col(order).cast("string"), F.lit(12)))
+    found = rows.agg(sketch.alias("distinct"), F.count("*").alias("rows")).first()
+    if (found.distinct or 0) <= bucket_rows:
+        return []
+    buckets = min(math.ceil(found.rows / bucket_rows), MAX_EDGES)
+    probabilities = [i / buckets for i in range(1, buckets)]
+    return sorted(set(rows.approxQuantile(order, probabilities, 1 / (4 * buckets))))
+
+
 def add_bucket(df: DataFrame, order: str, edges: Sequence[float]) -> DataFrame:
     """Add ``_bucket``: the value's position among the edges; equal values share one."""
     if not edges:
@@ -64,13 +80,17 @@ def running_totals(
     by: Sequence[str] = (),
     descending: bool = True,
     bucket_rows: int = BUCKET_ROWS,
+    edges: Sequence[float] | None = None,
 ) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running total) and ``all_<c>`` (group total) per column.
 
-    ``df`` must have one row per ``by`` and ``order`` value, as a histogram does.
+    ``df`` must have one row per ``by`` and ``order`` value, as a histogram does.  Without
+    ``edges`` they are taken from ``df`` itself.
     """
+    if edges is None:
+        edges = bucket_edges(df, order, bucket_rows)
     return _with_offsets(
-        add_bucket(df, order, bucket_edges(df, order, bucket_rows)),
+        add_bucket(df, order, edges),
         [F.col(order).desc() if descending else F.col(order).asc()],
         F.col("_bucket").desc() if descending else F.col("_bucket").asc(),
         sums,

@@ -90,8 +90,10 @@ def histogram_by_class(
     """Equal-width bins between each class's own extremes, with densities.
 
     Empty bins are listed with 0 rows; the highest value belongs to the last bin.
+    ``label`` is 0 or 1, so the table of extremes has two rows and is broadcast.
     """
     value = F.col(score).cast("double")
+    df = df.filter(F.col(label).isin(0, 1))
     spans = df.groupBy(label).agg(
         F.min(value).alias("_low"), F.max(value).alias("_high"), F.count("*").alias("_rows")
     )
@@ -100,7 +102,7 @@ def histogram_by_class(
         F.least(F.lit(bins - 1), F.floor((value - F.col("_low")) / F.nullif(width, F.lit(0.0))).cast("int"))
     )
     counted = (
-        df.join(spans, label).groupBy(label, number.alias("bin")).agg(F.count("*").alias("n"))
+        df.join(F.broadcast(spans), label).groupBy(label, number.alias("bin")).agg(F.count("*").alias("n"))
     )
     frame = spans.select(
         label, "_low", "_rows", width.alias("_width"),

@@ -16,6 +16,7 @@ from loanweave.operators.ranking import hash_rank, smallest_hash_rows
 
 TRAIN_YEARS = (1999, 2008)
 TEST_YEARS = (2009, 2012)
+BROADCAST_IDS = 1_000_000
 
 
 def split_label(
@@ -65,7 +66,8 @@ def restrict_to(panel: DataFrame, ids: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def restrict_to_sample(
-    panel: DataFrame, sample: DataFrame, bound: int, key: str = KEY, broadcast_limit: int = 1_000_000
+    panel: DataFrame, sample: DataFrame, bound: int, key: str = KEY,
+    broadcast_limit: int = BROADCAST_IDS,
 ) -> DataFrame:
     """``restrict_to`` for a sample of at most ``bound`` loans.
 
@@ -123,10 +125,14 @@ def sample_splits(
     goal = F.try_element_at(
         F.create_map(*[F.lit(v) for k, g in goals.items() for v in (k, float(g))]), F.col("split")
     )
-    sizes = splits.groupBy("split").agg(F.least(F.lit(1.0), goal / F.count("*")).alias("_fraction"))
+    sizes = (
+        splits.filter(F.col("split").isin(*goals))
+        .groupBy("split")
+        .agg(F.least(F.lit(1.0), goal / F.count("*")).alias("_fraction"))
+    )
     identity = F.concat_ws("|", *[F.col(c).cast("string") for c in id_columns])
     return (
-        splits.join(sizes, "split")
+        splits.join(F.broadcast(sizes), "split")  # one row per split, three at most
         .filter(x.stable_fraction(identity, seed) < F.col("_fraction"))
         .select(*splits.columns)
     )
@@ -156,8 +162,10 @@ def validation_loans(
         .agg(F.min("_priority").alias("_priority"))
     )
     tags = F.array(F.lit("defaulted"), F.lit("non_defaulted"), F.lit("random"))
+    # At most this many rows: the sample sizes are part of the definition.
+    small = defaulted + non_defaulted + anyone <= BROADCAST_IDS
     return (
-        loans.join(F.broadcast(tagged), key)  # at most defaulted + non_defaulted + anyone rows
+        loans.join(F.broadcast(tagged) if small else tagged, key)
         .withColumn("sample_type", F.element_at(tags, F.col("_priority")))
         .drop("_priority")
     )

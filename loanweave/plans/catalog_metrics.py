@@ -372,7 +372,7 @@ def _(t):
     uses="scored",
 )
 def _(t):
-    ranked = metrics.running_totals(metrics.score_histogram(t.scored()), "y_proba", ["n"])
+    ranked = metrics.ranked_scores(t.scored(), sums=["n"])
     return ranked.select("y_proba", F.col("cum_n").alias("rows_at_or_above"))
 
 
