@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from loanweave.columns import RISK_BANDS
 from loanweave.functions.expressions import share
 from loanweave.operators.ranking import (
-    BUCKET_ROWS, hash_rank, running_totals, score_histogram, value_edges,
+    BUCKET_ROWS, bucket_edges, hash_rank, running_totals, score_histogram,
 )
 
 LOG_LOSS_EPSILON = 2.220446049250313e-16
@@ -88,7 +88,7 @@ def ranked_scores(
 
     ``df`` is read twice (bucket edges, histogram): write costly scores to a table first.
     """
-    edges = value_edges(df, "y_proba", bucket_rows)
+    edges = bucket_edges(df, "y_proba", bucket_rows)
     return running_totals(score_histogram(df, by=by), "y_proba", sums, by, edges=edges)
 
 

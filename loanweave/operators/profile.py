@@ -55,7 +55,9 @@ def approx_cardinality(name: str, log2_registers: int = 12) -> Column:
     The sketch is one binary buffer, so dozens of them fit one aggregation;
     ``approx_count_distinct`` would spread hundreds of buffer fields per column.
     """
-    sketch = F.hll_sketch_agg(F.col(name).cast("string"), F.lit(log2_registers))
+    value = F.col(name)
+    hashed = F.when(value.isNotNull(), F.xxhash64(value))
+    sketch = F.hll_sketch_agg(hashed, F.lit(log2_registers))
     return F.coalesce(F.hll_sketch_estimate(sketch), F.lit(0)).cast("bigint")
 
 
