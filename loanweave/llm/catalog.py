@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from loanweave.llm import aho_corasick, external_shuffle, secrets, sentencepiece_chunks
+from loanweave.llm import aho_corasick, external_shuffle, nbsvm, secrets, sentencepiece_chunks, superminhash, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.digests,
     "op4_secret_ownership": secrets.digests,
     "op5_external_shuffle": external_shuffle.digests,
     "op6_decontamination": aho_corasick.digests,
+    "op7_quality": nbsvm.digests,
     "op8_sentencepiece_chunks": sentencepiece_chunks.digests,
+    "op9_superminhash": superminhash.digests,
 }
 
 ORACLES: dict[str, str] = {}
