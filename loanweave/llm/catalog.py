@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loanweave.llm import aho_corasick, external_shuffle, nbsvm, secrets, sentencepiece_chunks, superminhash, toxicity
+from loanweave.llm import aho_corasick, external_shuffle, multi_index, nbsvm, secrets, sentencepiece_chunks, superminhash, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.digests,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_quality": nbsvm.digests,
     "op8_sentencepiece_chunks": sentencepiece_chunks.digests,
     "op9_superminhash": superminhash.digests,
+    "op10_multi_index": multi_index.digests,
 }
 
 ORACLES: dict[str, str] = {}
