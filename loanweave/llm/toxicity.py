@@ -29,6 +29,8 @@ AFFIXES = (4, 5, 6)
 ERROR, LEAK = 0.05, 0.01
 #: Share of toxic contexts below which a feature says too little to be used.
 PRECISION = 0.75
+#: An affix is used if so many words have it, of which this share leans to the toxic side.
+AFFIX_WORDS, AFFIX_SHARE = 5, 0.95
 #: Token readings a task keeps.
 CACHE = 400_000
 
@@ -37,8 +39,8 @@ LOOK_ALIKES = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l",
 }
-# Costs in nats of a look-alike, a stretched letter and a gap inside a word.
-SUBSTITUTED, STRETCHED, GAPPED = 1.5, 1.0, 0.3
+# Costs in nats of a look-alike, a stretched letter, a doubled one and a gap inside a word.
+SUBSTITUTED, STRETCHED, DOUBLED, GAPPED = 1.5, 1.0, 4.0, 0.3
 
 _SIGNS = re.escape("".join(LOOK_ALIKES))
 _LETTER = r"[^\W\d_]"
@@ -144,7 +146,7 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
             if length <= 2 and letter != sign:
                 readings.append((letter * length, extra))
             if length >= 2:
-                readings.append((letter, extra + STRETCHED))
+                readings.append((letter, extra + (STRETCHED if length > 2 else DOUBLED)))
             if length >= 3:
                 readings.append((letter * 2, extra + STRETCHED))
         if sign in " .*_-":
@@ -208,10 +210,14 @@ def _features(word: str) -> list[str]:
     return [word, *ends]
 
 
+def _squeezed(word: str) -> str:
+    return _RUN.sub(r"\1", word)
+
+
 def training_counts(
     docs: DataFrame, labels: DataFrame, counts, label_col: str, sample_rows: int, id_col: str, text_col: str
 ) -> tuple[list, int, int]:
-    """(feature, toxic contexts, clean contexts) and the rows of each class in the sample.
+    """(feature, toxic contexts, clean contexts, words, toxic words) and the class sizes.
 
     A document gives each of its words once, with the word before its first occurrence; equal
     pairs of several documents count once.  So copies of a document count like one.
@@ -255,7 +261,10 @@ def training_counts(
     features = (
         words.select(F.explode(F.array_compact(F.array(F.col("word"), *affixes))).alias("feature"), "toxic", "clean")
         .groupBy("feature")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        .agg(
+            F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.count("*").alias("words"),
+            F.sum(F.when(F.col("toxic") > F.col("clean"), 1).otherwise(0)).alias("toxic_words"),
+        )
     )
     size_of = chosen.groupBy("_label").count().collect()
     by = {r["_label"]: r["count"] for r in size_of}
@@ -271,14 +280,19 @@ def _tail(n: int, k: int, p: float) -> float:
     return min(1.0, sum(math.exp(log(i)) for i in range(k, n + 1)))
 
 
-def significant(found: list[tuple[str, int, int]], toxic_rows: int, clean_rows: int) -> dict[str, float]:
+def significant(found: list[tuple[str, int, int, int, int]], toxic_rows: int, clean_rows: int) -> dict[str, float]:
     """Features that chance doesn't explain, with their shrunken share of toxic contexts."""
     share = toxic_rows / max(1, toxic_rows + clean_rows)
     tests = max(1, len(found)) * 20  # the features seen are a fraction of those that could be
     kept = {}
-    for feature, toxic, clean in found:
+    for feature, toxic, clean, words, toxic_words in found:
         precision = (toxic + share) / (toxic + clean + 1)
-        if precision >= PRECISION and _tail(toxic + clean, toxic, share) < ERROR / tests:
+        needed = PRECISION
+        if "*" in feature:
+            needed = AFFIX_SHARE
+            if words < AFFIX_WORDS or toxic_words < AFFIX_SHARE * words:
+                continue
+        if precision >= needed and _tail(toxic + clean, toxic, share) < ERROR / tests:
             kept[feature] = precision
     return kept
 
@@ -301,12 +315,17 @@ def score(
 
     def start():
         restorer, weights = Restorer(counts.value), kept.value
+        # a reading may have lost or kept a doubled letter: words meet without them
+        squeezed = {_squeezed(f): f for f in sorted(weights) if "*" not in f and len(f) >= 4}
         readings: dict[str, tuple[str, ...]] = {}
 
         def findings(token: str) -> tuple[str, ...]:
-            return tuple(
-                f for w in _WORD.findall(restorer.token(token)) for f in _features(w) if f in weights
-            )
+            found = []
+            for word in _WORD.findall(restorer.token(token)):
+                found += [f for f in _features(word) if f in weights]
+                if not found and (same := squeezed.get(_squeezed(word))):
+                    found.append(same)
+            return tuple(found)
 
         def work(column):
             scores, words, texts = [], [], []
