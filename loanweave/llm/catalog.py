@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from loanweave.llm import aho_corasick, external_shuffle, multi_index, nbsvm, page_templates, secrets, sentencepiece_chunks, superminhash, toxicity
+from loanweave.llm import (
+    aho_corasick,
+    external_shuffle,
+    licences,
+    multi_index,
+    nbsvm,
+    page_templates,
+    secrets,
+    sentencepiece_chunks,
+    superminhash,
+    toxicity,
+)
 
 QUERIES = {
     "op1_toxicity": toxicity.digests,
+    "op2_licences": licences.digests,
     "op3_page_templates": page_templates.digests,
     "op4_secret_ownership": secrets.digests,
     "op5_external_shuffle": external_shuffle.digests,
