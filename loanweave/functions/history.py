@@ -5,6 +5,9 @@
 * ``by="rows"``    a frame of 6 is the 6 neighbouring rows, whatever their dates;
 * ``by="months"``  a frame of 6 is 6 calendar months, so gaps shrink it.
 
+``row_id`` orders rows of equal time by the md5 of their id, then by the id, so that the order
+is total and depends neither on the layout nor on the length of a history.
+
 All frames share one partitioning and one ordering, so Catalyst needs a single
 exchange and a single sort for any number of features.
 
@@ -20,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from loanweave.columns import KEY, TIME
-from loanweave.functions.expressions import month_index
+from loanweave.functions.expressions import month_index, stable_hash
 
 
 @dataclass(frozen=True)
@@ -30,6 +33,7 @@ class History:
     by: str = "rows"
     segment: str | None = None
     position: str | None = None
+    row_id: str | None = None
 
     def __post_init__(self):
         if self.by not in ("rows", "months"):
@@ -43,7 +47,13 @@ class History:
 
     @property
     def ordered(self) -> WindowSpec:
-        return Window.partitionBy(*self.partition).orderBy(self.position or self.time)
+        if self.position is not None:
+            order = [F.col(self.position)]
+        elif self.row_id is not None:
+            order = [F.col(self.time), stable_hash(self.row_id), F.col(self.row_id)]
+        else:
+            order = [F.col(self.time)]
+        return Window.partitionBy(*self.partition).orderBy(*order)
 
     @property
     def so_far(self) -> WindowSpec:

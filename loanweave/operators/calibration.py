@@ -15,9 +15,11 @@ from loanweave.operators.learning import average_probability, predict_proba
 from loanweave.operators.metrics import calibration_curve, calibration_error
 from loanweave.operators.preparation import LABEL
 from loanweave.operators.ranking import score_histogram
+from loanweave.session import checkpointed
 
 PLATT_C = 1e6
-RESOLUTION = 6
+#: Pooling ends on the driver once so few blocks are left, or once blocks stop merging.
+FINAL_BLOCKS = 10_000
 
 
 class Calibrator:
@@ -41,23 +43,63 @@ class Calibrator:
         return self.transform(df, score, "proba_1").withColumn("proba_0", 1 - F.col("proba_1"))
 
 
-def fit_calibrator(
-    scored: DataFrame, method: str = "isotonic", resolution: int | None = RESOLUTION
-) -> Calibrator:
-    """Fit on ``y_true`` and ``y_proba``.
+def _pooled(batches):
+    """Pool adjacent violators over one stretch of the score order."""
+    import pyarrow as pa
+
+    blocks: list[list[float]] = []  # low score, high score, sum of labels, weight
+    for batch in batches:
+        for low, high, total, weight in zip(*(c.to_pylist() for c in batch.columns)):
+            blocks.append([low, high, total, weight])
+            while len(blocks) > 1 and blocks[-2][2] * blocks[-1][3] >= blocks[-1][2] * blocks[-2][3]:
+                _, high, total, weight = blocks.pop()
+                last = blocks[-1]
+                blocks[-1] = [last[0], high, last[2] + total, last[3] + weight]
+    columns = list(zip(*blocks)) if blocks else [[], [], [], []]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(c, pa.float64()) for c in columns], names=["low", "high", "total", "weight"]
+    )
+
+
+def pooled_blocks(histogram: DataFrame) -> DataFrame:
+    """Exact isotonic pooling of a score histogram, in stretches of the score order.
+
+    Pooling a stretch never undoes a merge that the whole order would make, so stretches are
+    pooled side by side, then pooled again in fewer and wider stretches, until few blocks are
+    left or none merges any more.  Only blocks reach the last step.
+    """
+    schema = "low double, high double, total double, weight double"
+    blocks = histogram.select(
+        F.col("y_proba").cast("double").alias("low"), F.col("y_proba").cast("double").alias("high"),
+        F.col("pos").cast("double").alias("total"), F.col("n").cast("double").alias("weight"),
+    )
+    spark = histogram.sparkSession
+    stretches, before = int(spark.conf.get("spark.sql.shuffle.partitions")), None
+    while True:
+        ordered = blocks.repartitionByRange(stretches, "low").sortWithinPartitions("low")
+        blocks = checkpointed(ordered.mapInArrow(_pooled, schema))
+        left = blocks.count()
+        if left <= FINAL_BLOCKS or left == before or stretches == 1:
+            return blocks
+        before, stretches = left, max(1, stretches // 4)
+
+
+def fit_calibrator(scored: DataFrame, method: str = "isotonic") -> Calibrator:
+    """Fit on ``y_true`` and ``y_proba``, which are used as they are.
 
     Equal scores are collapsed to one weighted row first, which leaves the fit unchanged.
-    Isotonic regression finishes its pooling on the driver, so scores are told apart to
-    ``resolution`` decimals: at most a million weighted points, however many rows.
+    Isotonic regression then pools adjacent violators on the executors, so its last step,
+    which Spark does on the driver, sees only the pooled blocks.
     """
     if method not in ("isotonic", "sigmoid"):
         raise ValueError(f"method is isotonic or sigmoid, not {method!r}")
-    if resolution is not None:
-        scored = scored.withColumn("y_proba", F.round("y_proba", resolution))
     histogram = score_histogram(scored)
     if method == "isotonic":
-        points = histogram.select(
-            F.col("y_proba"), (F.col("pos") / F.col("n")).alias(LABEL), F.col("n").cast("double").alias("n")
+        # both ends of a block carry its mean, so the fit interpolates between blocks only
+        ends = F.when(F.col("low") == F.col("high"), F.array("low")).otherwise(F.array("low", "high"))
+        points = pooled_blocks(histogram).select(
+            F.explode(ends).alias("y_proba"), (F.col("total") / F.col("weight")).alias(LABEL),
+            (F.col("weight") / F.size(ends)).alias("n"),
         )
         fitted = IsotonicRegression(
             featuresCol="y_proba", labelCol=LABEL, weightCol="n", predictionCol="_mapped"

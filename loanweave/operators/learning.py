@@ -21,7 +21,7 @@ from loanweave.operators.preparation import (
 )
 from loanweave.session import checkpointed
 
-VALIDATION_FLAG = "_is_validation"
+PATIENCE = 50
 
 # The published default parameters of every model.
 DEFAULTS: dict[str, dict[str, Any]] = {
@@ -113,11 +113,63 @@ BUILDERS: dict[str, Callable] = {
 def preparation_pipeline(model: str, features: FeatureSet, prefix: str = "") -> Pipeline:
     categorical, numeric = features.groups
     return Pipeline(stages=preparation_stages(
-        categorical, numeric, prefix=prefix, scale=model == "logistic",
-        target_encode=model == "boosting_c",
+        categorical, numeric, prefix=prefix, scale=preparation_kind(model)[0],
+        target_encode=preparation_kind(model)[1],
     ))
 
 
+@dataclass(frozen=True)
+class Prepared:
+    """Fitted preparation stages and the narrow matrix (label, features) they gave.
+
+    The matrix is written once.  A learner passes over it many times, and every model, trial
+    and iteration (or a lost executor) reads the file instead of the raw panel.
+    """
+
+    stages: Sequence[Any]
+    matrix: DataFrame
+    prefix: str = ""
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return PipelineModel(stages=list(self.stages)).transform(df)
+
+
+def preparation_kind(model: str) -> tuple[bool, bool]:
+    """Models of one kind share their preparation: (scaled numbers, target encoding)."""
+    return model == "logistic", model == "boosting_c"
+
+
+def prepare(model: str, train: DataFrame, features: FeatureSet, prefix: str = "") -> Prepared:
+    """Fit the preparation of one kind of model and write the training matrix."""
+    fitted = preparation_pipeline(model, features, prefix).fit(train)
+    matrix = checkpointed(fitted.transform(train).select(LABEL, f"{prefix}features"))
+    return Prepared(fitted.stages, matrix, prefix)
+
+
+def fit_prepared(
+    model: str, prepared: Prepared, overrides: Mapping[str, Any] | None = None,
+    validation: DataFrame | None = None, seed: int = 42, patience: int = PATIENCE,
+) -> PipelineModel:
+    """Fit one model on a written matrix; see ``fit_model``."""
+    p = parameters(model, overrides)
+    weights = collected_weights(prepared.matrix, p["class_weight"])
+    if set(weights) != {0, 1}:
+        raise ValueError(f"training needs both classes, found {sorted(weights)}")
+    weighted = add_weight(prepared.matrix, weights)
+    total = weighted.agg(F.sum(WEIGHT)).first()[0]
+    fitted = BUILDERS[model](p, total, prepared.prefix, seed).fit(weighted)
+    if validation is not None and model.startswith("boosting"):
+        held_out = prepared.transform(add_weight(validation, weights)).select(
+            LABEL, WEIGHT, f"{prepared.prefix}features"
+        )
+        rounds = best_round(fitted.evaluateEachIteration(held_out), patience)
+        if rounds < fitted.getNumTrees:
+            # the same seed grows the same first trees, so this is their prefix
+            shorter = {**p, "n_estimators": rounds}
+            fitted = BUILDERS[model](shorter, total, prepared.prefix, seed).fit(weighted)
+    return PipelineModel(stages=[*prepared.stages, fitted])
+
+
 def fit_model(
     model: str,
     train: DataFrame,
@@ -126,30 +178,27 @@ def fit_model(
     validation: DataFrame | None = None,
     prefix: str = "",
     seed: int = 42,
+    patience: int = PATIENCE,
 ) -> PipelineModel:
-    """Fit one model.  Boosted models stop early when there is a validation set."""
-    p = parameters(model, overrides)
-    weights = collected_weights(train, p["class_weight"])
-    if set(weights) != {0, 1}:
-        raise ValueError(f"training needs both classes, found {sorted(weights)}")
-    weighted = add_weight(train, weights)
-    prepared = preparation_pipeline(model, features, prefix).fit(weighted)
-    kept = [LABEL, WEIGHT, f"{prefix}features"]
-    matrix = prepared.transform(weighted).select(*kept)
-    early = validation is not None and model.startswith("boosting")
-    if early:
-        held_out = prepared.transform(add_weight(validation, weights)).select(*kept)
-        matrix = matrix.withColumn(VALIDATION_FLAG, F.lit(False)).unionByName(
-            held_out.withColumn(VALIDATION_FLAG, F.lit(True))
-        )
-    # The learner passes over the matrix many times: write the narrow matrix once, so that
-    # an iteration (or a lost executor) never recomputes features from the raw panel.
-    matrix = checkpointed(matrix)
-    total = matrix.agg(F.sum(WEIGHT)).first()[0]
-    learner = BUILDERS[model](p, total, prefix, seed)
-    if early:
-        learner = learner.setValidationIndicatorCol(VALIDATION_FLAG)
-    return PipelineModel(stages=[*prepared.stages, learner.fit(matrix)])
+    """Fit one model.
+
+    With a validation set a boosted model keeps the rounds up to the best validation loss;
+    rounds count until none of ``patience`` rounds in a row improves on the best.
+    """
+    parameters(model, overrides)  # unknown names fail before any work
+    prepared = prepare(model, train, features, prefix)
+    return fit_prepared(model, prepared, overrides, validation, seed, patience)
+
+
+def best_round(losses: Sequence[float], patience: int = PATIENCE) -> int:
+    """Rounds up to the smallest loss met before ``patience`` rounds bring no better one."""
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = k
+        elif k - best >= patience:
+            break
+    return best + 1
 
 
 # ------------------------------------------------------------------ prediction
@@ -212,9 +261,12 @@ def out_of_fold(
     parts = []
     for k in range(folds):
         inside, outside = train.filter(F.col(fold) != k), train.filter(F.col(fold) == k)
-        scored = outside
+        scored, prepared = outside, {}
         for name in models:
-            fitted = fit_model(name, inside, features, (overrides or {}).get(name), seed=seed)
+            kind = preparation_kind(name)
+            if kind not in prepared:
+                prepared[kind] = prepare(name, inside, features)
+            fitted = fit_prepared(name, prepared[kind], (overrides or {}).get(name), seed=seed)
             scored = predict_proba(fitted, scored, f"p_{name}")
         parts.append(scored)
     combined = parts[0]
@@ -227,8 +279,9 @@ def fit_stack(
     models: Sequence[str], train: DataFrame, features: FeatureSet, folds: int = 3,
     overrides: Mapping[str, Mapping[str, Any]] | None = None,
     meta: Mapping[str, Any] | None = None, fold: str = "fold", seed: int = 42,
+    meta_model: str = "logistic",
 ) -> PipelineModel:
-    """Stacked model: base probabilities into a balanced logistic regression.
+    """Stacked model: base probabilities into ``meta_model``, balanced logistic by default.
 
     ``train`` carries an entity-level ``fold`` column.  The meta model learns from
     out-of-fold probabilities; the bases are then refitted on all rows.  The result is one
@@ -244,14 +297,14 @@ def fit_stack(
             LABEL, *[f"p_{n}" for n in bases]
         )
     )
-    p = parameters("logistic", meta)
+    p = parameters(meta_model, meta)
     weights = collected_weights(scored, p["class_weight"])
     assembler = VectorAssembler(inputCols=[f"p_{n}" for n in bases], outputCol="features")
     matrix = checkpointed(
         assembler.transform(add_weight(scored, weights)).select(LABEL, WEIGHT, "features")
     )
     total = matrix.agg(F.sum(WEIGHT)).first()[0]
-    meta_model = _logistic(p, total, "", seed).fit(matrix)
+    top = BUILDERS[meta_model](p, total, "", seed).fit(matrix)
 
     stages = []
     for name in bases:
@@ -262,7 +315,7 @@ def fit_stack(
             VectorSlicer(inputCol=f"{prefix}probability", outputCol=f"_p_{name}", indices=[1]),
         ]
     stages.append(VectorAssembler(inputCols=[f"_p_{n}" for n in bases], outputCol="features"))
-    return PipelineModel(stages=[*stages, meta_model])
+    return PipelineModel(stages=[*stages, top])
 
 
 def average_probability(df: DataFrame, columns: Sequence[str], output: str = "y_proba") -> DataFrame:

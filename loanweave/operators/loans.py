@@ -89,11 +89,19 @@ def align_to_model(
     feature_names: Sequence[str],
     defaults: Mapping[str, object] = c.SCORING_DEFAULTS,
     passthrough: Sequence[str] = (KEY,),
+    skip_unknown: bool = False,
 ) -> DataFrame:
-    """The model's features in the model's order; known absent ones get their default."""
+    """The model's features in the model's order; known absent ones get their default.
+
+    An absent feature without default is an error, because the model could not score the
+    rows; ``skip_unknown`` leaves it out instead.
+    """
     have = set(df.columns)
     added = {n: F.lit(defaults[n]) for n in feature_names if n not in have and n in defaults}
-    names = [n for n in feature_names if n in have or n in added]
+    missing = [n for n in feature_names if n not in have and n not in added]
+    if missing and not skip_unknown:
+        raise ValueError(f"the model needs {missing}, which have no default")
+    names = [n for n in feature_names if n not in missing]
     filled = df.withColumns(added) if added else df
     numeric = [n for n, t in filled.dtypes if n in names and t != "string"]
     kept = [n for n in passthrough if n in have and n not in names]

@@ -139,8 +139,11 @@ def features_and_target(
 ) -> DataFrame:
     """Features and target of any panel; keys beyond ``max_rows`` rows are segmented.
 
-    ``max_rows=None`` states that months are unique per key and skips the check.
+    ``max_rows=None`` states that months are unique per key and skips the check.  With a
+    ``row_id``, short histories order rows of equal time as the segmented ones do.
     """
+    if row_id is not None:
+        history = replace(history, row_id=row_id)
 
     def whole(rows: DataFrame) -> DataFrame:
         return target.create_target(

@@ -8,7 +8,7 @@ ordinary window finishes the work inside each bucket.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -16,10 +16,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from loanweave.functions.expressions import stable_hash
 
 BUCKET_ROWS = 1_000_000
-MAX_EDGES = 10_000
 EDGE_SAMPLE_ROWS = 100_000
 EDGE_SAMPLE_PER_BUCKET = 200
-HASH_BUCKETS = 4096
+SLICES = 64
 
 
 def score_histogram(
@@ -43,7 +42,7 @@ def bucket_edges(rows: DataFrame, order: str, bucket_rows: int = BUCKET_ROWS) ->
     histogram it is one row wherever it falls.
     """
     total = rows.count()
-    buckets = min(math.ceil(total / bucket_rows), MAX_EDGES)
+    buckets = math.ceil(total / bucket_rows)
     if buckets <= 1:
         return []
     wanted = max(EDGE_SAMPLE_ROWS, EDGE_SAMPLE_PER_BUCKET * buckets)
@@ -124,13 +123,16 @@ def hash_rank(
     by: Sequence[str] = (),
     seed: int = 42,
     name: str = "hash_rank",
-    buckets: int = HASH_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """1-based rank in md5 order of the id within ``by``: a repeatable random order.
 
     Hash values are uniform, so equal-width hash buckets are balanced without sampling and
-    a group may be as large as the whole table.
+    a group may be as large as the whole table.  Their number follows the rows (one count)
+    unless given; the ranks do not depend on it.
     """
+    if buckets is None:
+        buckets = max(SLICES, math.ceil(df.count() / BUCKET_ROWS))
     hashed = df.withColumn("_hash", stable_hash(id_column, seed)).withColumns({
         "_bucket": F.floor(F.col("_hash") * F.lit(buckets) / F.lit(float(2**32))).cast("int"),
         name: F.lit(1).cast("bigint"),
@@ -143,22 +145,24 @@ def hash_rank(
 
 def smallest_hash_rows(
     df: DataFrame,
-    n: int | Mapping,
+    n: int,
     id_column: str,
     by: str | None = None,
     seed: int = 42,
-    salts: int = 64,
 ) -> DataFrame:
-    """The first ``n`` rows per group in hash order: a repeatable fixed-size sample.
+    """The first ``n`` rows, per group if ``by`` is given, in hash order: a repeatable sample.
 
-    Two stages, so that no task sees a whole group: the best ``n`` of each salted slice,
-    then the best ``n`` of those (at most ``salts * n`` rows per group).
+    Without groups this is one sort with a limit: every task keeps its own best ``n``.  With
+    groups there are two stages, so that no task sees a whole group: the best ``n`` of each
+    slice, then the best ``n`` of those.  The slices follow the number of rows.
     """
     order = [stable_hash(id_column, seed), F.col(id_column)]
-    groups = [F.col(by)] if by else []
-    slice_ = F.pmod(F.xxhash64(F.col(id_column)), F.lit(salts))
-    first = Window.partitionBy(*groups, slice_).orderBy(*order)
-    final = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(*order)
+    if by is None:
+        return df.orderBy(*order).limit(n)
+    slices = max(SLICES, math.ceil(df.count() / BUCKET_ROWS))
+    slice_ = F.pmod(F.xxhash64(F.col(id_column)), F.lit(slices))
+    first = Window.partitionBy(F.col(by), slice_).orderBy(*order)
+    final = Window.partitionBy(F.col(by)).orderBy(*order)
     return (
         df.withColumn("_rank", F.row_number().over(first))
         .filter(F.col("_rank") <= n)

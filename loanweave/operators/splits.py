@@ -71,11 +71,17 @@ def restrict_to_sample(
 ) -> DataFrame:
     """``restrict_to`` for a sample of at most ``bound`` loans.
 
-    The bound is part of the sample's definition; within ``broadcast_limit`` ids (a few
-    tens of MB) the panel is filtered in place, beyond it the join is left to AQE.
+    A sample above its bound is an error.  Within ``broadcast_limit`` ids (a few tens of MB)
+    the panel is filtered in place, beyond it the join is left to AQE.
     """
     ids = sample.select(key)
-    return panel.join(F.broadcast(ids) if bound <= broadcast_limit else ids, key, "left_semi")
+    if bound > broadcast_limit:
+        return panel.join(ids, key, "left_semi")
+    # counted up to one above the bound, so the broadcast never rests on the caller's word
+    found = ids.limit(bound + 1).count()
+    if found > bound:
+        raise ValueError(f"the sample has more than {bound} ids")
+    return panel.join(F.broadcast(ids), key, "left_semi")
 
 
 def add_fold(df: DataFrame, folds: int = 5, seed: int = 42, key: str = KEY) -> DataFrame:

@@ -9,7 +9,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
-from loanweave.operators.learning import FeatureSet, fit_model, predict_proba
+from loanweave.operators.learning import FeatureSet, Prepared, fit_prepared, predict_proba, prepare
 from loanweave.operators.metrics import ranked_scores, ranking_summary
 from loanweave.operators.preparation import LABEL
 from loanweave.session import checkpointed
@@ -69,19 +69,33 @@ def draw_trials(model: str, trials: int, seed: int = 42, space: Mapping[str, tup
     return [{n: _draw(rng, spec) for n, spec in chosen.items()} for _ in range(trials)]
 
 
+def prepared_folds(
+    model: str, df: DataFrame, features: FeatureSet, folds: int = 3, fold: str = "fold"
+) -> list[tuple[Prepared, DataFrame]]:
+    """Per fold: the written matrix of the other folds, and the fold's own rows, written too.
+
+    One preparation and one write per fold serve all trials.
+    """
+    parts = []
+    for k in range(folds):
+        prepared = prepare(model, df.filter(F.col(fold) != k), features)
+        held_out = prepared.transform(df.filter(F.col(fold) == k))
+        parts.append((prepared, checkpointed(held_out.select(LABEL, "features"))))
+    return parts
+
+
 def cross_validated_auc(
-    model: str, df: DataFrame, features: FeatureSet, overrides: Mapping[str, Any],
-    folds: int = 3, fold: str = "fold", seed: int = 42,
+    model: str, parts: Sequence[tuple[Prepared, DataFrame]], overrides: Mapping[str, Any], seed: int = 42
 ) -> float:
-    """Mean AUC over the folds.  A fold that fails raises: a silent 0 would win nothing."""
-    parts = None
-    for k in range(folds):
-        fitted = fit_model(model, df.filter(F.col(fold) != k), features, overrides, seed=seed)
-        scored = predict_proba(fitted, df.filter(F.col(fold) == k)).select(
+    """Mean AUC over the prepared folds.  A fold that fails raises: a silent 0 would win nothing."""
+    scores = None
+    for k, (prepared, held_out) in enumerate(parts):
+        learner = fit_prepared(model, prepared, overrides, seed=seed).stages[-1]
+        scored = predict_proba(learner, held_out).select(
             F.lit(k).alias("fold"), F.col(LABEL).alias("y_true"), "y_proba"
         )
-        parts = scored if parts is None else parts.unionByName(scored)
-    by_fold = ranking_summary(ranked_scores(parts, ["fold"]), ["fold"])
+        scores = scored if scores is None else scores.unionByName(scored)
+    by_fold = ranking_summary(ranked_scores(scores, ["fold"]), ["fold"])
     return by_fold.agg(F.avg("roc_auc")).first()[0]
 
 
@@ -90,13 +104,13 @@ def search(
     fold: str = "fold", seed: int = 42, space: Mapping[str, tuple] | None = None,
     fixed: Mapping[str, Any] | None = None,
 ) -> tuple[dict, list[tuple[dict, float]]]:
-    """Best parameters and every trial with its score; the sample is written once.
+    """Best parameters and every trial with its score; each fold's matrix is written once.
 
     ``fixed`` parameters are the same in every trial.
     """
-    sample = checkpointed(df)
+    parts = prepared_folds(model, df, features, folds, fold)
     results = [
-        (p, cross_validated_auc(model, sample, features, p, folds, fold, seed))
+        (p, cross_validated_auc(model, parts, p, seed))
         for p in ({**drawn, **(fixed or {})} for drawn in draw_trials(model, trials, seed, space))
     ]
     best, _ = max(results, key=lambda r: r[1])

@@ -7,13 +7,11 @@ about them (encodings, weights, scaling, the dataset itself) is compared.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from loanweave.columns import KEY, TIME
 from loanweave.operators import calibration, importance, learning, preparation, splits, tuning
-from loanweave.operators.learning import FeatureSet
 from loanweave.operators.preparation import LABEL
 from loanweave.plans import dataset
 from loanweave.plans.catalog_cleaning import LOANS_CLEAN_SQL
@@ -22,13 +20,6 @@ from loanweave.plans.catalog_panel import _REMAINING, _SPLIT, target_sql
 from loanweave.plans.registry import query, r6
 from loanweave.session import checkpointed
 
-# The registered queries run fewer rounds than the defaults; data is never reduced.
-FEW_ROUNDS = {"n_estimators": 10}
-OVERRIDES = {
-    "logistic": {"max_iter": 50},
-    "random_forest": {"n_estimators": 20},
-    "boosting_a": FEW_ROUNDS, "boosting_b": FEW_ROUNDS, "boosting_c": FEW_ROUNDS,
-}
 IDS = ["row_id", KEY, "split"]
 
 
@@ -46,7 +37,7 @@ class Training:
     def fit(self, name, **options):
         validation = self.part("validation") if name.startswith("boosting") else None
         return learning.fit_model(
-            name, self.part("train"), self.features, OVERRIDES.get(name), validation, **options
+            name, self.part("train"), self.features, None, validation, **options
         )
 
 
@@ -78,6 +69,10 @@ def _(t):
 _CATEGORIES = ["CHANNEL", "OCCUPANCY_STATUS", "MSA"]
 
 
+def _prepared(categorical, numeric, **options) -> Pipeline:
+    return Pipeline(stages=preparation.preparation_stages(categorical, numeric, **options))
+
+
 def _text_sql(n: str) -> str:
     return f"case when {n} is null or {n} in ('nan', 'None', '') then 'MISSING' else {n} end"
 
@@ -99,12 +94,9 @@ def _(t):
     uses="loans",
 )
 def _(t):
-    df = preparation.fill_missing_categories(t.loans().select(KEY, *_CATEGORIES), _CATEGORIES)
-    codes = [f"code_{n}" for n in _CATEGORIES]
-    indexer = StringIndexer(
-        inputCols=_CATEGORIES, outputCols=codes, stringOrderType="alphabetAsc", handleInvalid="keep"
-    )
-    return indexer.fit(df).transform(df).select(KEY, *codes)
+    df = t.loans().select(KEY, *_CATEGORIES)
+    codes = [F.col(f"_code_{n}").alias(f"code_{n}") for n in _CATEGORIES]
+    return _prepared(_CATEGORIES, []).fit(df).transform(df).select(KEY, *codes)
 
 
 @query(
@@ -116,11 +108,9 @@ def _(t):
     ctes=f"known as (select v, dense_rank() over (order by v) - 1 as code from (select distinct {_text_sql('MSA')} as v from loans where vintage_year < 2009))",
 )
 def _(t):
-    df = preparation.fill_missing_categories(t.loans().select(KEY, "MSA", "vintage_year"), ["MSA"])
-    indexer = StringIndexer(
-        inputCol="MSA", outputCol="code", stringOrderType="alphabetAsc", handleInvalid="keep"
-    ).fit(df.filter("vintage_year < 2009"))
-    return indexer.transform(df.filter("vintage_year >= 2009")).select(KEY, "code")
+    df = t.loans().select(KEY, "MSA", "vintage_year")
+    fitted = _prepared(["MSA"], []).fit(df.filter("vintage_year < 2009"))
+    return fitted.transform(df.filter("vintage_year >= 2009")).select(KEY, F.col("_code_MSA").alias("code"))
 
 
 @query(
@@ -159,11 +149,7 @@ def _(t):
 def _(t):
     names = ["ORIGINAL_DTI", "ORIGINAL_UPB"]
     df = t.loans().select(KEY, *names)
-    stages = Pipeline(stages=[
-        VectorAssembler(inputCols=names, outputCol="raw"),
-        StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
-    ])
-    scaled = stages.fit(df).transform(df).withColumn("v", vector_to_array("scaled"))
+    scaled = _prepared([], names, scale=True).fit(df).transform(df).withColumn("v", vector_to_array("features"))
     return scaled.select(KEY, *[r6(F.col("v")[i], n) for i, n in enumerate(names)])
 
 
@@ -207,17 +193,14 @@ for _number, _name in (
 @query("ml_15_stacked_model")
 def _(t):
     training = Training(t)
-    model = learning.fit_stack(
-        ["logistic", "random_forest", "boosting_c"], training.part("train"), training.features,
-        overrides=OVERRIDES,
-    )
+    model = learning.fit_stack(["logistic", "random_forest"], training.part("train"), training.features)
     return predictions(model, training.part("test"))
 
 
 @query("ml_17_search_trials")
 def _(t):
     training = Training(t)
-    _, results = tuning.search("logistic", training.part("train"), training.features, trials=2, folds=2, fixed=OVERRIDES["logistic"])
+    _, results = tuning.search("logistic", training.part("train"), training.features)
     return tuning.trials_table(t.spark, results)
 
 
@@ -245,17 +228,15 @@ def _(t):
 @query("ml_21_permutation_importance")
 def _(t):
     training = Training(t)
-    names = ["CREDIT_SCORE", "ELTV", "CHANNEL", "delinquency_trend_6m"]
-    chosen = FeatureSet(names, ("CHANNEL",))
-    model = learning.fit_model("logistic", training.part("train"), chosen, OVERRIDES["logistic"])
-    return importance.permutation_importance(model, training.part("test"), chosen, "row_id", repeats=2)
+    model = training.fit("logistic")
+    return importance.permutation_importance(model, training.part("test"), training.features, "row_id")
 
 
 @query("ml_22_stack_importance")
 def _(t):
     bases = ["logistic", "random_forest"]
     training = Training(t)
-    model = learning.fit_stack(bases, training.part("train"), training.features, overrides=OVERRIDES)
+    model = learning.fit_stack(bases, training.part("train"), training.features)
     return importance.stack_importance(model, bases, t.spark)
 
 
@@ -283,7 +264,7 @@ def _(t):
 def _(t):
     training = Training(t)
     fitted = calibration.calibrate_across_folds(
-        lambda rows: learning.fit_model("logistic", rows, training.features, OVERRIDES["logistic"]),
+        lambda rows: learning.fit_model("logistic", rows, training.features),
         training.part("train"),
     )
     return fitted.transform(training.part("test")).select("row_id", "calibrated")

@@ -721,4 +721,4 @@ def _(t):
 )
 def _(t):
     wanted = ["ELTV", "num_modifications", "last_modification_month", "CREDIT_SCORE", "unknown_one"]
-    return loans.align_to_model(t.labelled().select(KEY, "CREDIT_SCORE", "ELTV", "LOAN_AGE"), wanted)
+    return loans.align_to_model(t.labelled().select(KEY, "CREDIT_SCORE", "ELTV", "LOAN_AGE"), wanted, skip_unknown=True)

@@ -64,18 +64,25 @@ def run_stages(stages: Mapping[str, Callable[[], object]], only: Sequence[str] |
 def data_stages(
     spark: SparkSession, raw: str, root: str, years: Sequence[int], *, force: bool = False,
     threshold: int = target.THRESHOLD_DAYS, lookahead: int = target.LOOKAHEAD,
+    history: History = History(), validation_fraction: float = 0.2,
 ) -> dict[str, Callable[[], DataFrame]]:
     """Ingest, clean, feature, target and dataset stages over Parquet layers under ``root``.
 
-    Every stage reads the layer before it and writes its own, unless it is already there.
+    Every stage reads the layer before it and writes its own, unless it is already there and
+    was made from the same extract files with the same parameters.
     """
     at = lambda name: f"{root.rstrip('/')}/{name}"
 
     def read(name: str) -> DataFrame:
         return spark.read.parquet(at(name))
 
-    def keep(name: str, build: Callable[[], DataFrame], by: Sequence[str] = ()) -> DataFrame:
-        return storage.unless_present(spark, at(name), build, force, by)
+    files = [
+        f"{raw.rstrip('/')}/{prefix}_{year}.txt" for prefix in ingest.FILE_PREFIXES.values() for year in years
+    ]
+
+    def keep(name: str, build: Callable[[], DataFrame], by: Sequence[str] = (), **parameters) -> DataFrame:
+        made_from = {"files": storage.file_sizes(spark, files), **parameters}
+        return storage.unless_present(spark, at(name), build, force, by, made_from)
 
     def bronze() -> DataFrame:
         keep("bronze/origination", lambda: ingest.read_years(spark, raw, years, "origination"))
@@ -94,17 +101,26 @@ def data_stages(
     def engineered() -> DataFrame:
         return keep(
             "features",
-            lambda: features.create_all_features(read("silver/origination"), read("silver/performance")),
+            lambda: features.create_all_features(
+                read("silver/origination"), read("silver/performance"), history
+            ),
+            history=str(history),
         )
 
     def labelled() -> DataFrame:
-        return keep("target", lambda: target.create_target(read("features"), threshold, lookahead))
+        return keep(
+            "target", lambda: target.create_target(read("features"), threshold, lookahead, history),
+            history=str(history), threshold=threshold, lookahead=lookahead,
+        )
 
     def dataset() -> DataFrame:
         return keep(
             "dataset",
-            lambda: splits.split_out_of_time(loans.select_model_columns(read("target"))),
-            ["split"],
+            lambda: splits.split_out_of_time(
+                loans.select_model_columns(read("target")), validation_fraction=validation_fraction
+            ),
+            ["split"], history=str(history), threshold=threshold, lookahead=lookahead,
+            validation_fraction=validation_fraction,
         )
 
     return {

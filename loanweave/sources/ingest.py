@@ -33,12 +33,22 @@ def add_reporting_year(df: DataFrame, time: str = c.TIME) -> DataFrame:
     return df.withColumn("reporting_year", F.substring(time, 1, 4))
 
 
+def valid_rows(df: DataFrame) -> DataFrame:
+    """Rows with a loan id; every reader of extracts applies this rule."""
+    return df.filter(F.col(c.KEY).isNotNull())
+
+
+def rejected_rows(df: DataFrame) -> DataFrame:
+    """Rows without a loan id, which no table can hold under a key."""
+    return df.filter(F.col(c.KEY).isNull())
+
+
 def read_origination(spark: SparkSession, path: str, year: int) -> DataFrame:
-    return add_lineage(read_extract(spark, path, "origination"), year)
+    return valid_rows(add_lineage(read_extract(spark, path, "origination"), year))
 
 
 def read_performance(spark: SparkSession, path: str, year: int) -> DataFrame:
-    return add_reporting_year(add_lineage(read_extract(spark, path, "performance"), year))
+    return valid_rows(add_reporting_year(add_lineage(read_extract(spark, path, "performance"), year)))
 
 
 def read_years(
@@ -47,10 +57,12 @@ def read_years(
     years: Sequence[int],
     layout: str,
     prefix: str | None = None,
+    rejected: bool = False,
 ) -> DataFrame:
     """All years that are present, as ONE scan; the vintage comes from the file name.
 
-    Years without a file are skipped; no file at all is an error.
+    Years without a file are skipped; no file at all is an error.  ``rejected`` returns the
+    rows that have no loan id instead of those that have one.
     """
     prefix = prefix or FILE_PREFIXES[layout]
     wanted = [f"{directory.rstrip('/')}/{prefix}_{year}.txt" for year in years]
@@ -59,7 +71,7 @@ def read_years(
         raise FileNotFoundError(f"no {prefix}_<year>.txt for {list(years)} in {directory}")
     raw = read_extract(spark, found, layout)
     year = F.regexp_extract(F.col("_metadata.file_path"), YEAR_IN_NAME, 1)
-    df = add_lineage(raw, year).filter(F.col(c.KEY).isNotNull())
+    df = (rejected_rows if rejected else valid_rows)(add_lineage(raw, year))
     return add_reporting_year(df) if layout == "performance" else df
 
 
@@ -84,7 +96,11 @@ def ingest(
     output: str,
     prefix: str | None = None,
 ) -> DataFrame:
-    """Bronze table from the yearly extracts; the panel is partitioned by reporting year."""
+    """Bronze table from the yearly extracts; the panel is partitioned by reporting year.
+
+    Rows without a loan id go to ``<output>_rejected``, so that none is lost unseen.
+    """
     df = read_years(spark, directory, years, layout, prefix)
+    write_parquet(read_years(spark, directory, years, layout, prefix, rejected=True), f"{output.rstrip('/')}_rejected")
     partition = ["reporting_year"] if layout == "performance" else []
     return write_parquet(df, output, partition)

@@ -48,12 +48,34 @@ def write_parquet(
 
 def unless_present(
     spark: SparkSession, path: str, build: Callable[[], DataFrame],
-    force: bool = False, partition_by: Sequence[str] = (),
+    force: bool = False, partition_by: Sequence[str] = (), made_from: Mapping | None = None,
 ) -> DataFrame:
-    """Read the table at ``path``; build and write it first if absent or ``force``."""
+    """Read the table at ``path``; build and write it first if absent or ``force``.
+
+    ``made_from`` (parameters and inputs, JSON) is stored beside the table; a table that was
+    made from something else is stale and built again.
+    """
+    note = f"{path.rstrip('/')}_made_from"
+    wanted = None if made_from is None else json.dumps(made_from, sort_keys=True)
     if not force and path_exists(spark, f"{path}/_SUCCESS"):
-        return spark.read.parquet(path)
-    return write_parquet(build(), path, partition_by)
+        if wanted is None or (
+            path_exists(spark, f"{note}/_SUCCESS") and spark.read.text(note).first()[0] == wanted
+        ):
+            return spark.read.parquet(path)
+    table = write_parquet(build(), path, partition_by)
+    if wanted is not None:
+        spark.createDataFrame([(wanted,)], "value string").coalesce(1).write.mode("overwrite").text(note)
+    return table
+
+
+def file_sizes(spark: SparkSession, paths: Sequence[str]) -> dict[str, int]:
+    """Bytes of each path that exists."""
+    conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    found = {}
+    for path in existing_paths(spark, paths):
+        hadoop = jvm.org.apache.hadoop.fs.Path(path)
+        found[path] = hadoop.getFileSystem(conf).getContentSummary(hadoop).getLength()
+    return found
 
 
 def dataset_status(spark: SparkSession, expected: Mapping[str, str]) -> DataFrame:

@@ -8,14 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loanweave import columns as c
 from loanweave.sources.ingest import (
-    FILE_PREFIXES, LAYOUTS, YEAR_IN_NAME, add_lineage, add_reporting_year,
+    FILE_PREFIXES, LAYOUTS, YEAR_IN_NAME, add_lineage, add_reporting_year, rejected_rows, valid_rows,
 )
 
 
-def stream_extracts(spark: SparkSession, directory: str, layout: str, prefix: str | None = None) -> DataFrame:
-    """The extract files of a folder as a stream, with the same columns as the batch read."""
+def stream_extracts(
+    spark: SparkSession, directory: str, layout: str, prefix: str | None = None, rejected: bool = False
+) -> DataFrame:
+    """The extract files of a folder as a stream, with the columns and the rule of the batch read."""
     pattern = f"{prefix or FILE_PREFIXES[layout]}_*.txt"
     raw = (
         spark.readStream.schema(LAYOUTS[layout])
@@ -23,7 +24,7 @@ def stream_extracts(spark: SparkSession, directory: str, layout: str, prefix: st
         .csv(directory)
     )
     year = F.regexp_extract(F.col("_metadata.file_path"), YEAR_IN_NAME, 1)
-    rows = add_lineage(raw, year).filter(F.col(c.KEY).isNotNull())
+    rows = (rejected_rows if rejected else valid_rows)(add_lineage(raw, year))
     return add_reporting_year(rows) if layout == "performance" else rows
 
 
@@ -33,15 +34,17 @@ def append_new_files(
 ) -> None:
     """Append all unseen files to the bronze table and stop.
 
-    ``checkpoint`` is a folder on the same shared storage as ``output``.
+    ``checkpoint`` is a folder on the same shared storage as ``output``.  Rows without a loan
+    id are appended to ``<output>_rejected``.
     """
-    writer = (
-        stream_extracts(spark, directory, layout, prefix)
-        .writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .option("path", output)
-        .trigger(availableNow=True)
-    )
-    if layout == "performance":
-        writer = writer.partitionBy("reporting_year")
-    writer.start().awaitTermination()
+    for rejected, ending in ((False, ""), (True, "_rejected")):
+        writer = (
+            stream_extracts(spark, directory, layout, prefix, rejected)
+            .writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", f"{checkpoint.rstrip('/')}{ending}")
+            .option("path", f"{output.rstrip('/')}{ending}")
+            .trigger(availableNow=True)
+        )
+        if layout == "performance" and not rejected:
+            writer = writer.partitionBy("reporting_year")
+        writer.start().awaitTermination()
