@@ -7,9 +7,9 @@ filled rank by rank for all elements of a document at once, and filling ends as
 later rank can lower a register, which gives the same signature.
 
 Documents with equal shingle sets are one node.  Nodes that share a band are candidates.  In
-each bucket a few centres are compared with all members of other groups, which gives a
-number of pairs linear in the bucket; what has not been compared stays for a next round with
-new centres.  The rounds end when no bucket holds an untested pair of different groups, so
+each bucket the first centres are compared with all members of other groups, which gives a
+number of pairs linear in the bucket; what has not been compared stays for a next turn with
+more centres.  The turns end when no bucket holds an untested pair of different groups, so
 no candidate is left out.
 """
 
@@ -20,7 +20,7 @@ import math
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from loanweave.llm.common import annotate, as_bytes, stored, table
 
@@ -152,71 +152,98 @@ def components(links: DataFrame) -> DataFrame:
     ends until none is left.  The smallest node of a component always stays its own end, so
     it is the one that remains.  Every round is stored; no component is gathered anywhere.
     """
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    edges = stored(both.where("a != b").distinct())
-    labels = edges.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node"))
-    while not edges.isEmpty():
-        hooks = edges.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("least")).select("v", F.least("v", "least").alias("to"))
-        hooks = stored(hooks)
+    edges, labels = links.where("a != b"), None
+    while True:
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        hooks = stored(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.col("v")).alias("to")))
+        if hooks.isEmpty():
+            return hooks.select(F.col("v").alias("node"), F.col("to").alias("label")) if labels is None else labels
         beyond = hooks.select(F.col("v").alias("to"), F.col("to").alias("end"))
-        hooks = stored(hooks.join(beyond, "to").select("v", F.col("end").alias("to")))
-        ends = hooks.select(F.col("v").alias("label"), F.col("to").alias("end"))
-        labels = stored(labels.join(ends, "label", "left").select("node", F.coalesce("end", "label").alias("label")))
+        ends = stored(hooks.join(beyond, "to").select("v", "end"))
+        if labels is None:
+            labels = ends.select(F.col("v").alias("node"), F.col("end").alias("label"))
+        else:
+            moved = ends.withColumnRenamed("v", "label")
+            labels = stored(labels.join(moved, "label", "left").select("node", F.coalesce("end", "label").alias("label")))
         edges = stored(
-            edges.join(hooks.select(F.col("v").alias("a"), F.col("to").alias("x")), "a")
-            .join(hooks.select(F.col("v").alias("b"), F.col("to").alias("y")), "b")
+            edges.join(ends.select(F.col("v").alias("a"), F.col("end").alias("x")), "a")
+            .join(ends.select(F.col("v").alias("b"), F.col("end").alias("y")), "b")
             .where("x != y")
             .select(F.col("x").alias("a"), F.col("y").alias("b"))
             .distinct()
         )
-    return labels
 
 
-def _links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Components of the links between nodes (node, set_key, n, bands)."""
+def _buckets(nodes: DataFrame) -> DataFrame:
+    """``bucket``, ``node`` and ``n`` of the buckets of all bands with several members.
+
+    Bands often gather the same members: of buckets with equal member sets (equal digests
+    and counts) one stays.
+    """
     keyed = nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
-    shared = keyed.groupBy("band", "key").agg(F.count("*").alias("members")).where("members > 1")
-    waiting = stored(keyed.join(shared.drop("members"), ["band", "key"]).withColumn("done", F.lit(False)))
-    involved = nodes.join(waiting.select("node").distinct(), "node", "left_semi").select("node", "set_key")
-    elements = stored(_elements(stored(involved), docs, size))
-    labels, links, centres, turn = None, None, 1, 0
+    sizes = keyed.groupBy("band", "key").agg(
+        F.count("*").alias("members"), F.bit_xor(F.xxhash64("node")).alias("x"),
+        F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"),
+    )
+    one = sizes.where("members > 1").groupBy("members", "x", "y").agg(F.min(F.struct("band", "key")).alias("bucket"))
+    return keyed.join(one.select("bucket.band", "bucket.key"), ["band", "key"]).select(
+        F.struct("band", "key").alias("bucket"), "node", "n"
+    )
+
+
+def _centres(grouped: DataFrame, number: int) -> DataFrame:
+    """``bucket`` and the ``number`` smallest members that have not been a centre yet."""
+    order = Window.partitionBy("bucket").orderBy("node")
+    return (
+        grouped.where("not done")
+        .select("bucket", "node", "label", "n")
+        .withColumn("place", F.row_number().over(order))
+        .where(F.col("place") <= number)
+        .select("bucket", F.struct("node", "label", "n").alias("c"))
+    )
+
+
+def _links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``node`` and ``label`` of the linked nodes among node, set_key, n and bands.
+
+    Turn by turn the first centre, then the next 16, 64 and so on of every open bucket are
+    compared with the members of other groups.  A bucket is closed once the members that were
+    never a centre belong to one group.
+    """
+    waiting = stored(_buckets(nodes).withColumn("done", F.lit(False)))
+    involved = stored(nodes.join(waiting.select("node").distinct(), "node", "left_semi").select("node", "set_key"))
+    elements = stored(_elements(involved, docs, size))
+    labels = involved.select("node", F.col("node").alias("label"))
+    centres = 1
     while not waiting.isEmpty():
-        if labels is None:
-            grouped = waiting.withColumn("label", F.col("node"))
-        else:
-            grouped = waiting.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        # turns alternate between one centre per label and centres from all members
-        spread = F.xxhash64("label") if turn % 2 else F.xxhash64("node", F.lit(turn))
-        order = F.struct(F.xxhash64("node").alias("h"), "node", "label", "n")
-        chosen = (
-            grouped.where("not done")
-            .groupBy("band", "key", F.pmod(spread, F.lit(centres)).alias("slot"))
-            .agg(F.min(order).alias("c"))
-            .groupBy("band", "key")
-            .agg(F.collect_list("c").alias("centres"))
-        )
-        met = stored(grouped.join(chosen, ["band", "key"]))
+        grouped = stored(waiting.join(labels, "node"))
+        chosen = stored(_centres(grouped, centres))
         pairs = (
-            met.where("not done")
-            .select("node", "n", "label", F.explode("centres").alias("c"))
+            grouped.where("not done")
+            .join(chosen, "bucket")
             .where("node != c.node and label != c.label")
             .where(100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n"))
             .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"))
             .distinct()
         )
-        found = _verified(pairs, elements, percent)
-        links = stored(found if links is None else links.unionByName(found))
-        labels = components(links)
-        # compared with all other groups of its bucket: a centre is done
-        after = met.select(
-            "band", "key", "node", "n",
-            (F.col("done") | F.exists("centres", lambda c: c["node"] == F.col("node"))).alias("done"),
+        found = stored(_verified(pairs, elements, percent))
+        if not found.isEmpty():
+            left = labels.select(F.col("node").alias("a"), F.col("label").alias("x"))
+            right = labels.select(F.col("node").alias("b"), F.col("label").alias("y"))
+            merged = components(
+                found.join(left, "a").join(right, "b").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+            ).select(F.col("node").alias("label"), F.col("label").alias("end"))
+            labels = stored(labels.join(merged, "label", "left").select("node", F.coalesce("end", "label").alias("label")))
+        was_centre = chosen.select("bucket", F.col("c.node").alias("node"), F.lit(True).alias("now"))
+        after = grouped.drop("label").join(was_centre, ["bucket", "node"], "left").select(
+            "bucket", "node", "n", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done")
+        )
+        spread = after.where("not done").join(labels, "node").groupBy("bucket").agg(
+            F.min("label").alias("low"), F.max("label").alias("high")
         )
-        seen = after.where("not done").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        still = seen.groupBy("band", "key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        waiting = stored(after.join(still.select("band", "key"), ["band", "key"], "left_semi"))
-        centres, turn = centres * 4 if turn else 8, turn + 1
-    return labels if labels is not None else nodes.select("node", F.col("node").alias("label"))
+        waiting = stored(after.join(spread.where("low < high").select("bucket"), "bucket", "left_semi"))
+        centres = 16 if centres == 1 else centres * 4
+    return labels
 
 
 def near_duplicates(
