@@ -26,10 +26,12 @@ from loanweave.llm.common import annotate, as_bytes, stored, table
 
 #: Rows of a band, and the chance that a pair at the threshold shares no band.
 BAND_ROWS, MISS = 5, 1e-6
-#: Elements whose ranks are drawn together, which bounds the memory of a long document.
-BLOCK = 4096
+#: Elements whose ranks are drawn together, and bytes of text hashed together, which bounds
+#: the memory of a long document.
+BLOCK, STRETCH = 1 << 15, 1 << 19
 
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+# lower case for A-Z, a space for every separator
+_PLAIN = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 _STEP = 0x9E3779B97F4A7C15
 
 
@@ -38,47 +40,105 @@ def bands_for(threshold: float, rows: int = BAND_ROWS, miss: float = MISS) -> in
     return math.ceil(math.log(miss) / math.log(1 - threshold**rows))
 
 
+def _powers(base: int, length: int) -> np.ndarray:
+    """base**0, base**1, ... modulo 2**64."""
+    return np.concatenate([[np.uint64(1)], np.full(length - 1, base, np.uint64)]).cumprod(dtype=np.uint64)
+
+
+#: Odd bases of two polynomial hashes and the powers of each and of its inverse.
+_BASES = (0x5851F42D4C957F2D, 0xD1342543DE82EF95)
+_TABLES: dict[int, list[np.ndarray]] = {}
+
+
+def _tables(length: int) -> list[np.ndarray]:
+    if not _TABLES or len(_TABLES[0][0]) < length:
+        size = max(1 << 16, 1 << (length - 1).bit_length())
+        for k, base in enumerate(_BASES):
+            _TABLES[k] = [_powers(base, size), _powers(pow(base, -1, 1 << 64), size)]
+    return [t for k in range(len(_BASES)) for t in _TABLES[k]]
+
+
+def _word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of every word of a text whose white space is spaces."""
+    raw = np.frombuffer(text, np.uint8)
+    inside = np.concatenate([[False], raw != 32, [False]]).view(np.int8)
+    edge = np.diff(inside)
+    first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    values = raw.astype(np.uint64) + np.uint64(1)
+    tables = _tables(len(raw) + 1)
+    # differences of prefix sums, shifted to the word's start, are the words' polynomials
+    hashed = (last - first).astype(np.uint64)
+    for k in range(len(_BASES)):
+        ahead, back = tables[2 * k], tables[2 * k + 1]
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(values * ahead[: len(raw)], dtype=np.uint64)])
+        hashed = _mixed(hashed + (sums[last] - sums[first]) * back[first])
+    return hashed
+
+
 def shingles(text: bytes, size: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles of UTF-8 text (A-Z in lower case).
 
     Words are separated by space, tab, line feed, vertical tab, form feed and return.  A text
     of fewer words is one shingle; a text without words has none.
     """
-    words = text.translate(_LOWER).split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(words) <= size:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words))], np.uint64)
-    joined = map(b" ".join, zip(*(words[k:] for k in range(size))))
-    return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, joined), np.uint64, len(words) - size + 1))
+    plain, parts, at = text.translate(_PLAIN), [], 0
+    while at < len(plain):
+        cut = len(plain) if len(plain) - at <= STRETCH else plain.find(b" ", at + STRETCH)
+        cut = len(plain) if cut < 0 else cut
+        parts.append(_word_hashes(plain[at:cut]))
+        at = cut
+    words = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    if not len(words):
+        return words
+    width = min(size, len(words))
+    count = len(words) - width + 1
+    joined = np.full(count, width, np.uint64)
+    for k in range(width):
+        joined = _mixed(joined + words[k : k + count])
+    joined.sort()
+    return joined[np.concatenate([[True], joined[1:] != joined[:-1]])]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     """SplitMix64 of every value."""
+    x = x + np.uint64(_STEP)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
-def signature(elements: np.ndarray, registers: int) -> np.ndarray:
-    """SuperMinHash registers: the smallest rank plus fraction that fell into each."""
-    lowest = np.full(registers, np.inf)
+def signatures(sets: list[np.ndarray], registers: int) -> np.ndarray:
+    """SuperMinHash registers of every set: the smallest rank plus fraction in each.
+
+    All sets advance rank by rank together; a set leaves once every register holds a value
+    below the rank, because no later rank can lower one.  Empty sets keep infinity.
+    """
+    lowest = np.full((len(sets), registers), np.inf)
+    flat = lowest.reshape(-1)
+    elements = np.concatenate([np.zeros(0, np.uint64), *sets])
+    owners = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     for at in range(0, len(elements), BLOCK):
-        part = elements[at : at + BLOCK]
+        part, owner = elements[at : at + BLOCK], owners[at : at + BLOCK]
         places = np.tile(np.arange(registers, dtype=np.int16), (len(part), 1))
-        row = np.arange(len(part))
+        active, lo, hi = np.arange(len(part)), owner[0], owner[-1] + 1
         for j in range(registers):
-            if j > lowest.max():
-                break  # every register already holds a value below rank j
-            drawn = _mixed(part + np.uint64(_STEP * (j + 1) & 0xFFFFFFFFFFFFFFFF))
+            unfinished = lowest[lo:hi].max(axis=1) > j
+            active = active[unfinished[owner[active] - lo]]
+            if not len(active):
+                break
+            drawn = _mixed(part[active] + np.uint64(_STEP * (j + 1) & 0xFFFFFFFFFFFFFFFF))
             fraction = (drawn >> np.uint64(32)).astype(np.float64) / 4294967296.0
             k = j + (((drawn & np.uint64(0xFFFFFFFF)) * np.uint64(registers - j)) >> np.uint64(32)).astype(np.int64)
-            chosen = places[row, k]
-            places[row, k] = places[:, j]
-            np.minimum.at(lowest, chosen, fraction + j)
+            chosen = places[active, k]
+            places[active, k] = places[active, j]
+            np.minimum.at(flat, owner[active] * registers + chosen, fraction + j)
     return lowest
 
 
+def signature(elements: np.ndarray, registers: int) -> np.ndarray:
+    return signatures([elements], registers)[0]
+
+
 def _bands(registers: np.ndarray, rows: int) -> list[int]:
     """One signed 64-bit key per band."""
     raw = registers.astype("<f8").tobytes()
@@ -96,18 +156,17 @@ def sketch(docs: DataFrame, text_col: str, size: int, threshold: float) -> DataF
     bands = bands_for(threshold)
 
     def start():
-        last: dict[bytes, tuple] = {}
-
-        def one(text: bytes):
-            elements = shingles(text, size)
-            key = _set_key(elements.tobytes())
-            if key not in last:
-                if len(last) > 256:
-                    last.clear()
-                last[key] = _bands(signature(elements, bands * BAND_ROWS), BAND_ROWS) if len(elements) else []
-            return len(elements), key, last[key]
-
-        return lambda column: [list(c) for c in zip(*map(one, as_bytes(column)))]
+        def work(column):
+            sets = [shingles(t, size) for t in as_bytes(column)]
+            keys = [_set_key(s.tobytes()) for s in sets]
+            distinct = dict(zip(keys, sets))
+            drawn = signatures(list(distinct.values()), bands * BAND_ROWS)
+            banded = {
+                key: _bands(row, BAND_ROWS) if len(s) else [] for (key, s), row in zip(distinct.items(), drawn)
+            }
+            return [[len(s) for s in sets], keys, [banded[k] for k in keys]]
+
+        return work
 
     return annotate(docs, [text_col], "n_shingles bigint, set_key binary, bands array<bigint>", start)
 
