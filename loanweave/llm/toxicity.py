@@ -31,6 +31,8 @@ ERROR, LEAK = 0.05, 0.01
 PRECISION = 0.75
 #: An affix is used if so many words have it, of which this share leans to the toxic side.
 AFFIX_WORDS, AFFIX_SHARE = 5, 0.95
+#: From this share of toxic contexts an affix makes rare words that have it count.
+SUSPICIOUS = 0.6
 #: Token readings a task keeps.
 CACHE = 400_000
 
@@ -268,7 +270,7 @@ def training_counts(
     )
     size_of = chosen.groupBy("_label").count().collect()
     by = {r["_label"]: r["count"] for r in size_of}
-    found = features.where("toxic >= 3 and toxic > clean").collect()
+    found = features.where("toxic >= 2 and toxic > clean").collect()
     return [tuple(r) for r in found], by.get(1, 0), by.get(0, 0)
 
 
@@ -283,17 +285,24 @@ def _tail(n: int, k: int, p: float) -> float:
 def significant(found: list[tuple[str, int, int, int, int]], toxic_rows: int, clean_rows: int) -> dict[str, float]:
     """Features that chance doesn't explain, with their shrunken share of toxic contexts."""
     share = toxic_rows / max(1, toxic_rows + clean_rows)
-    tests = max(1, len(found)) * 20  # the features seen are a fraction of those that could be
-    kept = {}
+    tests = max(1, sum(f[1] >= 3 for f in found)) * 20  # those seen are a fraction of those possible
+    kept, suspicious = {}, set()
     for feature, toxic, clean, words, toxic_words in found:
+        if _tail(toxic + clean, toxic, share) >= ERROR / tests:
+            continue
         precision = (toxic + share) / (toxic + clean + 1)
-        needed = PRECISION
-        if "*" in feature:
-            needed = AFFIX_SHARE
-            if words < AFFIX_WORDS or toxic_words < AFFIX_SHARE * words:
-                continue
-        if precision >= needed and _tail(toxic + clean, toxic, share) < ERROR / tests:
-            kept[feature] = precision
+        if "*" not in feature:
+            if precision >= PRECISION:
+                kept[feature] = precision
+        elif words >= AFFIX_WORDS:
+            if precision >= SUSPICIOUS:
+                suspicious.add(feature)
+            if precision >= AFFIX_SHARE and toxic_words >= AFFIX_SHARE * words:
+                kept[feature] = precision
+    # a rare word that only toxic documents have counts if its affix is suspicious too
+    for feature, toxic, clean, _, _ in found:
+        if "*" not in feature and not clean and not suspicious.isdisjoint(_features(feature)[1:]):
+            kept.setdefault(feature, (toxic + share) / (toxic + 1))
     return kept
 
 
