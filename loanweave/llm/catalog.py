@@ -8,6 +8,7 @@ from loanweave.llm import (
     licences,
     multi_index,
     nbsvm,
+    oracles,
     page_templates,
     secrets,
     sentencepiece_chunks,
@@ -28,4 +29,7 @@ QUERIES = {
     "op10_multi_index": multi_index.digests,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_decontamination": oracles.DECONTAMINATION,
+    "op9_superminhash": oracles.NEAR_DUPLICATES,
+}
