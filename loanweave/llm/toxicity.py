@@ -203,6 +203,11 @@ class Restorer:
         """Letters written apart are read as words where the model prefers that."""
         return _SPACED.sub(lambda m: decode(re.sub(r"\s+", " ", m[0]), self.model), lower)
 
+    def joined(self, lower: str) -> list[str]:
+        """Letters written apart, read as one word each: where words begin is left open."""
+        runs = [re.sub(r"[^\w" + _SIGNS + "]+", "", m[0]) for m in _SPACED.finditer(lower)]
+        return [decode(run, self.model) if _NOISY.search(run) else run for run in runs if len(set(run)) > 2]
+
     def text(self, text: str) -> str:
         return " ".join([self.token(t) for t in self.spaced(text.lower()).split()])
 
@@ -327,6 +332,9 @@ def score(
         # a reading may have lost or kept a doubled letter: words meet without them
         squeezed = {_squeezed(f): f for f in sorted(weights) if "*" not in f and len(f) >= 4}
         readings: dict[str, tuple[str, ...]] = {}
+        # in letters written apart a word may hide behind a one-letter word: search inside
+        whole = sorted((f for f in weights if "*" not in f and len(f) >= 4), key=lambda f: (-len(f), f))
+        inside = re.compile("|".join(map(re.escape, whole))) if whole else None
 
         def findings(token: str) -> tuple[str, ...]:
             found = []
@@ -339,14 +347,16 @@ def score(
         def work(column):
             scores, words, texts = [], [], []
             for text in as_texts(column):
-                lower = restorer.spaced(text.lower())
+                lower = text.lower()
+                apart = {f for run in restorer.joined(lower) for f in inside.findall(run)} if inside else set()
+                lower = restorer.spaced(lower)
                 tokens = lower.split()
                 distinct = set(tokens)
                 if len(readings) > CACHE:
                     readings.clear()
                 for token in distinct.difference(readings):
                     readings[token] = findings(token)
-                hits: dict[str, float] = {}
+                hits: dict[str, float] = {f: weights[f] for f in apart}
                 for token in distinct:
                     if features := readings[token]:
                         hits[restorer.token(token)] = max(weights[f] for f in features)
