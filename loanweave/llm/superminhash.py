@@ -327,7 +327,7 @@ def near_duplicates(
     )
     labels = _links(nodes, texts.where("id is not null"), size, percent)
     named = nodes.join(labels, "node", "left").groupBy("set_key").agg(F.min(F.coalesce("label", "node")).alias("label"))
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("label", "id")).otherwise(F.col("id"))
+    component = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.coalesce("label", "id")).otherwise(F.col("id"))
     return (
         marked.select("id", "n_shingles", "set_key")
         .join(named, "set_key", "left")
