@@ -217,8 +217,7 @@ def components(links: DataFrame) -> DataFrame:
         hooks = stored(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.col("v")).alias("to")))
         if hooks.isEmpty():
             return hooks.select(F.col("v").alias("node"), F.col("to").alias("label")) if labels is None else labels
-        beyond = hooks.select(F.col("v").alias("to"), F.col("to").alias("end"))
-        ends = stored(hooks.join(beyond, "to").select("v", "end"))
+        ends = _followed(hooks)
         if labels is None:
             labels = ends.select(F.col("v").alias("node"), F.col("end").alias("label"))
         else:
@@ -233,11 +232,23 @@ def components(links: DataFrame) -> DataFrame:
         )
 
 
+def _followed(hooks: DataFrame) -> DataFrame:
+    """``v`` and ``end`` of every chain of hooks; each jump doubles the length followed."""
+    ends = hooks.select("v", F.col("to").alias("end"))
+    while True:
+        beyond = ends.select(F.col("v").alias("end"), F.col("end").alias("far"))
+        jumped = stored(ends.join(beyond, "end").select("v", F.col("far").alias("end"), (F.col("far") != F.col("end")).alias("moved")))
+        ends = jumped.select("v", "end")
+        if jumped.where("moved").isEmpty():
+            return ends
+
+
 def _buckets(nodes: DataFrame) -> DataFrame:
-    """``bucket``, ``node`` and ``n`` of the buckets of all bands with several members.
+    """``bucket``, ``node``, ``n`` and ``weight`` of the buckets with several members.
 
     Bands often gather the same members: of buckets with equal member sets (equal digests
-    and counts) one stays.
+    and counts) one stays.  A node's weight is the sum of its buckets' sizes; in a group of
+    near copies it is largest for the text that the others were made from.
     """
     keyed = nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
     sizes = keyed.groupBy("band", "key").agg(
@@ -245,17 +256,21 @@ def _buckets(nodes: DataFrame) -> DataFrame:
         F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"),
     )
     one = sizes.where("members > 1").groupBy("members", "x", "y").agg(F.min(F.struct("band", "key")).alias("bucket"))
-    return keyed.join(one.select("bucket.band", "bucket.key"), ["band", "key"]).select(
-        F.struct("band", "key").alias("bucket"), "node", "n"
+    members = stored(
+        keyed.join(one.select("members", "bucket.band", "bucket.key"), ["band", "key"]).select(
+            F.struct("band", "key").alias("bucket"), "node", "n", "members"
+        )
     )
+    weights = members.groupBy("node").agg(F.sum("members").alias("weight"))
+    return members.drop("members").join(weights, "node")
 
 
 def _centres(grouped: DataFrame, number: int) -> DataFrame:
-    """``bucket`` and the ``number`` smallest members that have not been a centre yet."""
-    order = Window.partitionBy("bucket").orderBy("node")
+    """``bucket`` and the ``number`` heaviest members that have not been a centre yet."""
+    order = Window.partitionBy("bucket").orderBy(F.desc("weight"), "node")
     return (
         grouped.where("not done")
-        .select("bucket", "node", "label", "n")
+        .select("bucket", "node", "label", "n", "weight")
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= number)
         .select("bucket", F.struct("node", "label", "n").alias("c"))
@@ -265,8 +280,8 @@ def _centres(grouped: DataFrame, number: int) -> DataFrame:
 def _links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """``node`` and ``label`` of the linked nodes among node, set_key, n and bands.
 
-    Turn by turn the first centre, then the next 16, 64 and so on of every open bucket are
-    compared with the members of other groups.  A bucket is closed once the members that were
+    Turn by turn the heaviest centre, then the next 2, 4, 8 and so on of every open bucket
+    are compared with the members of other groups.  A bucket is closed once the members that were
     never a centre belong to one group.
     """
     waiting = stored(_buckets(nodes).withColumn("done", F.lit(False)))
@@ -295,13 +310,13 @@ def _links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
             labels = stored(labels.join(merged, "label", "left").select("node", F.coalesce("end", "label").alias("label")))
         was_centre = chosen.select("bucket", F.col("c.node").alias("node"), F.lit(True).alias("now"))
         after = grouped.drop("label").join(was_centre, ["bucket", "node"], "left").select(
-            "bucket", "node", "n", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done")
+            "bucket", "node", "n", "weight", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done")
         )
         spread = after.where("not done").join(labels, "node").groupBy("bucket").agg(
             F.min("label").alias("low"), F.max("label").alias("high")
         )
         waiting = stored(after.join(spread.where("low < high").select("bucket"), "bucket", "left_semi"))
-        centres = 16 if centres == 1 else centres * 4
+        centres *= 2
     return labels
 
 
