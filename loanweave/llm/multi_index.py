@@ -22,7 +22,7 @@ SAMPLE_ROWS, SAMPLE_QUERIES = 20_000, 300
 #: Neighbours to be found, as a share, in the calibration.
 TARGET = 0.97
 #: Vectors, and queries, that one group of the rerank holds at most (expected numbers).
-BLOCK_ROWS, BLOCK_QUERIES = 4_096, 50_000
+BLOCK_ROWS, BLOCK_QUERIES = 32_768, 20_000
 
 
 def centroids_for(rows: int) -> int:
@@ -173,29 +173,42 @@ def nearest_neighbours(
 
     def traverse_start():
         held = MultiIndex(*books.value)
-        return lambda column: [[[c for c, _ in held.traverse(q, known.value, wanted)] for q in unit(_matrix(column))]]
 
-    walks = annotate(sought, ["vector"], "cells array<int>", traverse_start)
-    many = F.expr(f"int(ceil(n / {BLOCK_ROWS}))")
-    sizes = spark.createDataFrame([(int(c), int(counts[c])) for c in np.flatnonzero(counts)], "cell int, n bigint")
-    blocks = F.broadcast(sizes.select("cell", many.alias("blocks")))
+        def walk(query):
+            seconds: dict[int, list[int]] = {}
+            for cell, _ in held.traverse(query, known.value, wanted):
+                seconds.setdefault(cell // len(held.second), []).append(cell % len(held.second))
+            return [{"first": a, "seconds": b} for a, b in seconds.items()]
+
+        return lambda column: [[walk(q) for q in unit(_matrix(column))]]
+
+    walks = annotate(sought, ["vector"], "walk array<struct<first:int,seconds:array<int>>>", traverse_start)
+    # a group of the rerank holds the cells of one first centroid, so that a query gives few
+    # rows; large groups fall into blocks and many queries into lanes, so none grows with the data
+    width = len(index.second)
+    per_first = counts.reshape(-1, width).sum(1)
+    sizes = [(int(a), math.ceil(int(n) / BLOCK_ROWS)) for a, n in enumerate(per_first) if n]
+    blocks = F.broadcast(spark.createDataFrame(sizes, "first int, blocks int"))
     lanes = max(1, math.ceil(asked.count() / BLOCK_QUERIES))
-    # hot cells fall into blocks and many queries into lanes, so no group grows with the data
     entries = (
-        celled.join(blocks, "cell")
-        .withColumn("block", F.pmod(F.xxhash64("key"), "blocks"))
+        celled.withColumn("first", F.floor(F.col("cell") / width).cast("int"))
+        .join(blocks, "first")
+        .withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
         .withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-        .select("cell", "block", "lane", "key", "ids", "vector")
+        .select("first", "block", "lane", F.pmod("cell", F.lit(width)).alias("second"), "key", "ids", "vector")
     )
     visits = (
         walks.withColumn("lane", F.pmod(F.xxhash64("key"), F.lit(lanes)).cast("int"))
-        .select("key", "vector", "lane", F.explode("cells").alias("cell"))
-        .join(blocks, "cell")
-        .select("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - F.lit(1).cast("long"))).alias("block"), "lane", "key", "vector")
+        .select("key", "vector", "lane", F.explode("walk").alias("w"))
+        .select("key", "vector", "lane", F.col("w.first").alias("first"), F.col("w.seconds").alias("seconds"))
+        .join(blocks, "first")
+        .select("first", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "lane", "key", "vector", "seconds")
     )
-    by = ["cell", "block", "lane"]
+    by = ["first", "block", "lane"]
     scored = (
-        visits.groupBy(*by).cogroup(entries.groupBy(*by)).applyInArrow(_rerank(k + 1), "key struct<x:bigint,y:bigint>, ids array<bigint>, score double")
+        visits.groupBy(*by)
+        .cogroup(entries.groupBy(*by))
+        .applyInArrow(_rerank(k + 1, width), "key struct<x:bigint,y:bigint>, ids array<bigint>, score double")
     )
     best = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
     candidates = scored.select("key", "score", F.explode("ids").alias("vec_id"))
@@ -212,7 +225,7 @@ def nearest_neighbours(
     )
 
 
-def _rerank(keep: int):
+def _rerank(keep: int, width: int):
     schema = pa.schema([
         ("key", pa.struct([("x", pa.int64()), ("y", pa.int64())])), ("ids", pa.list_(pa.int64())), ("score", pa.float64()),
     ])
@@ -221,16 +234,22 @@ def _rerank(keep: int):
         if visits.num_rows == 0 or entries.num_rows == 0:
             return schema.empty_table()
         asked, held = _matrix(visits["vector"]), _matrix(entries["vector"])
-        lengths = np.linalg.norm(held, axis=1)
+        second, lengths = entries["second"].to_numpy(), np.linalg.norm(held, axis=1)
+        chosen = visits["seconds"].to_pylist()
         at_query, at_entry, scores = [], [], []
-        for start in range(0, len(asked), 512):
-            part = asked[start : start + 512]
+        for start in range(0, len(asked), 128):
+            part = asked[start : start + 128]
             norms = np.linalg.norm(part, axis=1)
             similar = part @ held.T / (norms[:, None] * lengths)
-            top = np.argpartition(-similar, min(keep, len(held)) - 1, axis=1)[:, :keep]
             for q in range(len(part)):
-                # equal to the last kept score: ties are decided by id later
-                rows = np.flatnonzero(similar[q] >= similar[q, top[q]].min() - 1e-12)
+                wanted = np.zeros(width, bool)
+                wanted[chosen[start + q]] = True
+                rows = np.flatnonzero(wanted[second])
+                near = similar[q, rows]
+                if len(rows) > keep:
+                    # all that equal the last kept score stay: ties are decided by id later
+                    least = np.partition(near, len(near) - keep)[-keep]
+                    rows = rows[near >= least - 1e-12]
                 at_query.append(np.full(len(rows), start + q))
                 at_entry.append(rows)
                 scores.append((part[q] * held[rows]).sum(1) / (norms[q] * lengths[rows]))
