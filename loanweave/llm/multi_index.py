@@ -129,7 +129,8 @@ def nearest_neighbours(
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score``: the k nearest rows found per query.
 
-    ``queries`` holds rows of ``vectors``; a query's own row is no candidate.  Equal vectors
+    ``queries`` holds rows of ``vectors``; a query's own row is no candidate, and repeated
+    rows are one.  Equal vectors
     are indexed once with their k + 1 smallest ids, which decides all their ties, and equal
     queries are searched once.  All valid vectors are indexed; only codebooks and the share
     of vectors to meet come from a sample of ``sample_rows``.
@@ -138,9 +139,9 @@ def nearest_neighbours(
     key = F.struct(F.xxhash64("vector").alias("x"), F.xxhash64(F.lit(1), "vector").alias("y")).alias("key")
     rows = stored(valid_vectors(vectors, id_col, vector_col).withColumn("key", key))
     first_ids = Window.partitionBy("key").orderBy("id")
-    ranked = rows.select("key", "id", "vector").withColumn("place", F.row_number().over(first_ids)).where(F.col("place") <= k + 1)
+    ranked = rows.select("key", "id", "vector").withColumn("place", F.dense_rank().over(first_ids)).where(F.col("place") <= k + 1)
     distinct = ranked.groupBy("key").agg(
-        F.array_sort(F.collect_list("id")).alias("ids"), F.first("vector").alias("vector")
+        F.array_sort(F.collect_set("id")).alias("ids"), F.first("vector").alias("vector")
     )
     distinct = stored(distinct)
     total = distinct.count()
