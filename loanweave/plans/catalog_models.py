@@ -20,6 +20,15 @@ from loanweave.plans.catalog_panel import _REMAINING, _SPLIT, target_sql
 from loanweave.plans.registry import query, r6
 from loanweave.session import checkpointed
 
+# The registered queries bound the iterations of the fits, so that all of them run in minutes
+# on one machine; the library's defaults are higher.  Rows, features, folds, trees of the
+# forest and repeats are not reduced.
+FEWER_ROUNDS = {"n_estimators": 50}
+OVERRIDES = {
+    "logistic": {"max_iter": 100},
+    "boosting_a": FEWER_ROUNDS, "boosting_b": FEWER_ROUNDS, "boosting_c": FEWER_ROUNDS,
+}
+TRIALS = 4
 IDS = ["row_id", KEY, "split"]
 
 
@@ -37,7 +46,7 @@ class Training:
     def fit(self, name, **options):
         validation = self.part("validation") if name.startswith("boosting") else None
         return learning.fit_model(
-            name, self.part("train"), self.features, None, validation, **options
+            name, self.part("train"), self.features, OVERRIDES.get(name), validation, **options
         )
 
 
@@ -193,14 +202,18 @@ for _number, _name in (
 @query("ml_15_stacked_model")
 def _(t):
     training = Training(t)
-    model = learning.fit_stack(["logistic", "random_forest"], training.part("train"), training.features)
+    model = learning.fit_stack(
+        ["logistic", "random_forest", "boosting_a"], training.part("train"), training.features, overrides=OVERRIDES
+    )
     return predictions(model, training.part("test"))
 
 
 @query("ml_17_search_trials")
 def _(t):
     training = Training(t)
-    _, results = tuning.search("logistic", training.part("train"), training.features)
+    _, results = tuning.search(
+        "logistic", training.part("train"), training.features, trials=TRIALS, fixed=OVERRIDES["logistic"]
+    )
     return tuning.trials_table(t.spark, results)
 
 
@@ -236,7 +249,7 @@ def _(t):
 def _(t):
     bases = ["logistic", "random_forest"]
     training = Training(t)
-    model = learning.fit_stack(bases, training.part("train"), training.features)
+    model = learning.fit_stack(bases, training.part("train"), training.features, overrides=OVERRIDES)
     return importance.stack_importance(model, bases, t.spark)
 
 
@@ -264,7 +277,7 @@ def _(t):
 def _(t):
     training = Training(t)
     fitted = calibration.calibrate_across_folds(
-        lambda rows: learning.fit_model("logistic", rows, training.features),
+        lambda rows: learning.fit_model("logistic", rows, training.features, OVERRIDES["logistic"]),
         training.part("train"),
     )
     return fitted.transform(training.part("test")).select("row_id", "calibrated")
