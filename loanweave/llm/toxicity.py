@@ -122,10 +122,10 @@ def character_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
             )
 
     summed = (
-        docs.select(text_col).mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+        docs.select(text_col).mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     )
     counts = np.zeros(ORDERS * size, np.float32)
-    counts[summed["slot"].to_numpy(int)] = summed["n"].to_numpy(np.float32)
+    counts[summed["slot"].to_numpy()] = summed["n"].to_numpy()
     return counts.reshape(ORDERS, size)
 
 
