@@ -243,7 +243,7 @@ def _followed(hooks: DataFrame) -> DataFrame:
             return ends
 
 
-def _buckets(nodes: DataFrame) -> DataFrame:
+def _buckets(nodes: DataFrame, width: int = 1) -> DataFrame:
     """``bucket``, ``node``, ``n`` and ``weight`` of the buckets with several members.
 
     Bands often gather the same members: of buckets with equal member sets (equal digests
@@ -277,45 +277,56 @@ def _centres(grouped: DataFrame, number: int) -> DataFrame:
     )
 
 
+def _compared(
+    waiting: DataFrame, labels: DataFrame, elements: DataFrame, centres: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """One turn: the labels after it, and the members of buckets that are still open."""
+    grouped = stored(waiting.join(labels, "node"))
+    chosen = stored(_centres(grouped, centres))
+    pairs = (
+        grouped.where("not done")
+        .join(chosen, "bucket")
+        .where("node != c.node and label != c.label")
+        .where(100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n"))
+        .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"))
+        .distinct()
+    )
+    found = stored(_verified(pairs, elements, percent))
+    if not found.isEmpty():
+        left = labels.select(F.col("node").alias("a"), F.col("label").alias("x"))
+        right = labels.select(F.col("node").alias("b"), F.col("label").alias("y"))
+        merged = components(
+            found.join(left, "a").join(right, "b").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+        ).select(F.col("node").alias("label"), F.col("label").alias("end"))
+        labels = stored(labels.join(merged, "label", "left").select("node", F.coalesce("end", "label").alias("label")))
+    was_centre = chosen.select("bucket", F.col("c.node").alias("node"), F.lit(True).alias("now"))
+    after = grouped.drop("label").join(was_centre, ["bucket", "node"], "left").select(
+        "bucket", "node", "n", "weight", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done")
+    )
+    spread = after.where("not done").join(labels, "node").groupBy("bucket").agg(
+        F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    return labels, stored(after.join(spread.where("low < high").select("bucket"), "bucket", "left_semi"))
+
+
 def _links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """``node`` and ``label`` of the linked nodes among node, set_key, n and bands.
 
-    Turn by turn the heaviest centre, then the next 2, 4, 8 and so on of every open bucket
-    are compared with the members of other groups.  A bucket is closed once the members that were
+    Members of a bucket of two bands at once are very similar, so one centre in each of these
+    joins most of a group of near copies with few comparisons.  Then, turn by turn, the
+    heaviest centre, the next 2, 4, 8 and so on of every open bucket of single bands are
+    compared with the members of other groups.  A bucket is closed once the members that were
     never a centre belong to one group.
     """
     waiting = stored(_buckets(nodes).withColumn("done", F.lit(False)))
-    involved = stored(nodes.join(waiting.select("node").distinct(), "node", "left_semi").select("node", "set_key"))
-    elements = stored(_elements(involved, docs, size))
+    involved = stored(nodes.join(waiting.select("node").distinct(), "node", "left_semi"))
+    elements = stored(_elements(involved.select("node", "set_key"), docs, size))
     labels = involved.select("node", F.col("node").alias("label"))
+    wide = _buckets(involved, 2).withColumn("done", F.lit(False))
+    labels, _ = _compared(wide, labels, elements, 1, percent)
     centres = 1
     while not waiting.isEmpty():
-        grouped = stored(waiting.join(labels, "node"))
-        chosen = stored(_centres(grouped, centres))
-        pairs = (
-            grouped.where("not done")
-            .join(chosen, "bucket")
-            .where("node != c.node and label != c.label")
-            .where(100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n"))
-            .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"))
-            .distinct()
-        )
-        found = stored(_verified(pairs, elements, percent))
-        if not found.isEmpty():
-            left = labels.select(F.col("node").alias("a"), F.col("label").alias("x"))
-            right = labels.select(F.col("node").alias("b"), F.col("label").alias("y"))
-            merged = components(
-                found.join(left, "a").join(right, "b").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-            ).select(F.col("node").alias("label"), F.col("label").alias("end"))
-            labels = stored(labels.join(merged, "label", "left").select("node", F.coalesce("end", "label").alias("label")))
-        was_centre = chosen.select("bucket", F.col("c.node").alias("node"), F.lit(True).alias("now"))
-        after = grouped.drop("label").join(was_centre, ["bucket", "node"], "left").select(
-            "bucket", "node", "n", "weight", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done")
-        )
-        spread = after.where("not done").join(labels, "node").groupBy("bucket").agg(
-            F.min("label").alias("low"), F.max("label").alias("high")
-        )
-        waiting = stored(after.join(spread.where("low < high").select("bucket"), "bucket", "left_semi"))
+        labels, waiting = _compared(waiting, labels, elements, centres, percent)
         centres *= 2
     return labels
 
