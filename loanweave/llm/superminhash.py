@@ -22,7 +22,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from loanweave.llm.common import annotate, as_bytes, stored, table
+from loanweave.llm.common import annotate, as_bytes, release, stored, table
 
 #: Rows of a band, and the chance that a pair at the threshold shares no band.
 BAND_ROWS, MISS = 5, 1e-6
@@ -326,6 +326,7 @@ def _links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
     labels, _ = _compared(wide, labels, elements, 1, percent)
     centres = 1
     while not waiting.isEmpty():
+        release(docs.sparkSession)
         labels, waiting = _compared(waiting, labels, elements, centres, percent)
         centres *= 2
     return labels
