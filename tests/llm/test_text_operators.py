@@ -226,3 +226,43 @@ def test_licences_of_odd_rows_and_unknown_text(spark, odd):
     assert [x.family for x in by[1]] == ["apache-2.0"] and by[1][0].start == 14
     assert by[2] == [] and by[3] == [] and [x.family for x in by[4]] == ["mit"]
     assert licences.scan(docs.limit(0)).count() == 0
+
+
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+GPL_TEXT = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version."""
+
+
+def test_licences_in_wrapped_embedded_and_full_notices(spark):
+    """A notice is found whatever the length of its line and wherever lines are wrapped."""
+    filler = "the harbour was quiet and nobody saw the boats that went out before dawn".split()
+    rows, want, named = [], {}, {}
+    for n in (0, 5, 20, 45, 79, 100, 5000):
+        prose = " ".join(filler[i % len(filler)] for i in range(n))
+        for k, (notice, family) in enumerate((("Released under the MIT License.", "mit"), ("Licensed under CC BY-NC 4.0.", "cc-by-nc-4.0"))):
+            for end in ("", f" {prose}"):
+                rows.append((len(rows), f"{prose} {notice}{end}"))
+                want[rows[-1][0]], named[rows[-1][0]] = [family], notice
+    for text, families in (
+        (MIT_TEXT, ["mit"]), (" ".join(MIT_TEXT.split()), ["mit"]), (f"MIT License\n\nCopyright (c) 2020 A B\n\n{MIT_TEXT}\n\nThe above.", ["mit"]),
+        (GPL_TEXT, ["gpl-3.0"]), (GPL_TEXT.replace("\n", "\n#\n# Intro\n#\n", 0), ["gpl-3.0"]), (f"{MIT_TEXT}\n\n{GPL_TEXT}", ["mit", "gpl-3.0"]),
+        ("Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software", ["mit"]),
+        ("Released under the MIT License. " * 3, ["mit"] * 3),
+        ("Licensed under the Eclipse Public License, Version 2.0.", []), ("Released under the old guard.", []),
+        ("He can modify it as published, either general or later, under the terms of the house.", []),
+    ):
+        rows.append((len(rows), text))
+        want[rows[-1][0]] = families
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    text = dict(rows)
+    for r in licences.scan(docs).collect():
+        assert [x.family for x in r.licences] == want[r.doc_id], text[r.doc_id][:300]
+        if r.doc_id in named:
+            assert [text[r.doc_id][x.start : x.end] for x in r.licences] == [named[r.doc_id]]
