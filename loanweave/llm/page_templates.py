@@ -48,6 +48,8 @@ WEAK_ASIDE_WORDS = frozenset(
     "nav navbar navigation menu header masthead footer notice notices notification alert toolbar login search legal copyright skip".split()
 )
 CONTENT_WORDS = frozenset("article entry post content main body story text title".split())
+#: Elements that names never make aside.
+KEPT_TAGS = frozenset("html body main article".split())
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
@@ -65,47 +67,72 @@ def host(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def _step(tag: str, attributes: str) -> tuple[str, bool, bool]:
-    """Name of an element in a path, whether it is aside, whether it is the article."""
+def _step(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
+    """Name of an element in a path, whether it is aside, aside by its names only, the article.
+
+    Only whole tokens of a class, id or role speak (their numbers apart): "no-sidebar" does
+    not.  Other elements are left to the template.
+    """
     names: set[str] = set()
-    label, aside, article = tag, tag in ASIDE_TAGS, tag in ("article", "main")
+    whole: set[str] = set()
+    label, aside, article, content = tag, tag in ASIDE_TAGS, tag in ("article", "main"), False
     if attributes and not attributes.isspace():
         for m in _ATTRIBUTE.finditer(attributes):
             kind, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
             if kind == "hidden" or kind == "aria-hidden" and value == "true":
                 aside = True
             elif kind in ("class", "id", "role"):
-                names.update(w for w in re.split(r"[^a-z0-9]+", re.sub(r"\d+", "", value)) if w)
+                value = re.sub(r"\d+", "", value)
+                names.update(w for w in re.split(r"[^a-z0-9]+", value) if w)
+                tokens = {w.strip("-_") for w in value.split()}
+                whole |= tokens
+                content |= kind == "id" and not tokens.isdisjoint(CONTENT_WORDS)
                 if kind == "role" and value == "main":
                     article = True
         if names:
             label = f"{tag}.{'.'.join(sorted(names))}"
-    if names & ASIDE_WORDS or names & WEAK_ASIDE_WORDS and not names & CONTENT_WORDS:
-        aside = True
-    return label, aside, article and not aside
+    named = bool(whole & ASIDE_WORDS) and not content or bool(whole & WEAK_ASIDE_WORDS) and not names & CONTENT_WORDS
+    return label, aside, named and not article and tag not in KEPT_TAGS, article
 
 
 class Page:
     """Blocks and tag tokens of one page, in page order.
 
     ``blocks``: (path, text, aside, in article); ``tags``: paths of opened elements.
+
+    An element that is aside by its names isn't if it holds the main element, or an article
+    on a page that has no article elsewhere.
     """
 
     def __init__(self, source: str):
         self.blocks: list[tuple[str, str, bool, bool]] = []
         self.tags: list[str] = []
         self.has_article = False
-        self._stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+        # tag, path, aside, numbers of the elements around that are aside by their names, in article
+        self._stack: list[tuple[str, str, bool, tuple[int, ...], bool]] = [("", "", False, (), False)]
         self._text: list[str] = []
+        self._found: list[tuple[str, str, bool, tuple[int, ...], bool]] = []
+        self._articles: list[tuple[bool, tuple[int, ...]]] = []
         self._walk(source)
+        self._settle()
+
+    def _settle(self) -> None:
+        """Say of every block whether it is aside, when all articles are known."""
+        cleared = {n for main, named in self._articles if main for n in named}
+        if not any(cleared.issuperset(named) for _, named in self._articles):
+            cleared.update(n for _, named in self._articles for n in named)
+        self.has_article = any(cleared.issuperset(named) for _, named in self._articles)
+        self.blocks = [
+            (path, text, aside or not cleared.issuperset(named), article)
+            for path, text, aside, named, article in self._found
+        ]
 
     def _flush(self) -> None:
         if self._text:
             text = " ".join(entities.unescape("".join(self._text)).split())
             self._text.clear()
             if text:
-                _, path, aside, article = self._stack[-1]
-                self.blocks.append((path, text, aside, article))
+                self._found.append((self._stack[-1][1], text, *self._stack[-1][2:]))
 
     def _open(self, tag: str, attributes: str) -> None:
         stack = self._stack
@@ -115,8 +142,8 @@ class Page:
         inline = tag in INLINE
         if inline and "=" not in attributes and "hidden" not in attributes:
             return
-        label, aside, article = _step(tag, attributes)
-        if inline and not aside:
+        label, aside, named, article = _step(tag, attributes)
+        if inline and not aside and not named:
             return
         self._flush()
         if not inline and stack[-1][0] == "p" and tag not in VOID:
@@ -124,14 +151,18 @@ class Page:
         ends = CLOSES.get(tag, ())
         while stack[-1][0] in ends:
             stack.pop()
-        _, path, outer_aside, outer_article = stack[-1]
+        _, path, outer_aside, around, outer_article = stack[-1]
         path = f"{path}/{label}"
         self.tags.append(path)
         if tag in VOID or attributes.endswith("/") and inline:
             return
-        article = article and not outer_aside
-        self.has_article |= article
-        stack.append((tag, path, outer_aside or aside, outer_article or article))
+        aside = outer_aside or aside
+        article = article and not aside
+        if article:
+            self._articles.append((tag != "article", around))
+        if named:
+            around = (*around, len(self.tags))
+        stack.append((tag, path, aside, around, outer_article or article))
 
     def _close(self, tag: str) -> None:
         stack = self._stack

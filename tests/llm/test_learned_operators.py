@@ -142,6 +142,23 @@ def test_template_is_taken_out_and_odd_pages_survive(spark):
     assert page_templates.extract_main_text(pages.limit(0)).count() == 0
 
 
+def test_names_never_empty_a_page():
+    """Classes of raw pages that only look like those of menus and the like."""
+    text = "<p>First words.</p><p>Second words.</p>"
+    kept = [
+        f'<body class="no-sidebar">{text}</body>', f'<body class="single has-sidebar comments-open">{text}</body>',
+        f'<body class="sidebar"><article class="post comments-open">{text}</article></body>', f'<body class="widget">{text}</body>',
+        f'<article class="comments">{text}</article>', f'<main id="sidebar">{text}</main>', f'<div role="main" class="widget">{text}</div>',
+        f'<div id="content" class="widget-area">{text}</div>', f'<div class="widget"><div><article>{text}</article></div></div>',
+        f'<div class="sidebar"><main>{text}</main></div>', f'<div class="layout-sidebar-left">{text}</div>',
+        f'<main>{text}<section class="comments"><article>Nice.</article></section></main>',
+        f'<article>{text}</article><div class="comments"><article>Nice.</article></div>',
+        f'<div>{text}</div><div class="sidebar" id="sidebar-1">Other</div><div class="wide ad">Buy</div>',
+    ]
+    for source in kept:
+        assert page_templates.main_blocks(page_templates.Page(source), []) == ["First words.", "Second words."], source
+
+
 # ---------------------------------------------------------------- near duplicates
 
 
