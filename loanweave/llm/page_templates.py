@@ -2,9 +2,13 @@
 
 A page is a sequence of tokens: tags and text blocks with their path in the page.  Over the
 pages of a host every token has an occurrence vector (its count on each page).  Tokens with
-equal vectors form a class; large classes that occur on most pages and keep their order are
-nested by path into the host's template.  What the template leaves open are the slots, and
-the slots that lie in the article are the main text.
+equal vectors form a class; large classes that occur on most pages of their layout and keep
+their order are the host's template.  A token's layout is the set of pages that have the
+element it lies in.
+
+Tags and the words of classes choose first: blocks of the article, or outside of menus and
+the like if a page has none.  The template then takes its constant text out of them; it is a
+flat list of classes, and slots are not derived from places in it.
 
 Vectors are compared by digests that Spark sums up per host and token, so a host of any size
 is never gathered.
@@ -21,8 +25,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loanweave.llm.common import annotate, as_texts, table
 
-#: A class is part of the template if it has so many tokens and is on so many pages of the
-#: host, at least this share.
+#: A class is part of the template if it has so many tokens and is on so many pages, at least
+#: this share of the host's pages that have the elements of its tokens.
 CLASS_TOKENS, CLASS_PAGES, CLASS_SHARE = 2, 5, 0.6
 #: Constant text counts as template only if its neighbours differ from page to page: this
 #: share of a 64-bit sketch of them must be filled (what copies of an article share isn't).
@@ -196,19 +200,20 @@ def _number(text: str) -> int:
 def tokens(page: Page) -> list[dict]:
     """Each distinct token of a page with its count, first place and neighbours' hashes."""
     texts = [_number(f"{path}\n{text}") for path, text, _, _ in page.blocks]
+    around = [_number(path) if path else None for path, _, _, _ in page.blocks]
     counts = Counter(texts)
     out = []
     for k, number in enumerate(texts):
         if count := counts.pop(number, 0):
             before = texts[k - 1] if k else 0
             after = texts[k + 1] if k + 1 < len(texts) else 0
-            out.append({"token": number, "n": count, "place": k, "text": True, "before": before & 63, "after": after & 63})
+            out.append({"token": number, "n": count, "place": k, "text": True, "before": before & 63, "after": after & 63, "around": around[k]})
     for path, count in Counter(page.tags).items():
-        out.append({"token": _number(path), "n": count, "place": 0, "text": False, "before": 0, "after": 0})
+        out.append({"token": _number(path), "n": count, "place": 0, "text": False, "before": 0, "after": 0, "around": None})
     return out
 
 
-_TOKENS = "array<struct<token:bigint,n:int,place:int,text:boolean,before:int,after:int>>"
+_TOKENS = "array<struct<token:bigint,n:int,place:int,text:boolean,before:int,after:int,around:bigint>>"
 
 
 def constant_blocks(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -228,13 +233,19 @@ def constant_blocks(pages: DataFrame, id_col: str, url_col: str, html_col: str)
         F.sum("t.n").alias("total"),
         F.bit_xor(F.xxhash64("page", "t.n")).alias("vector"),
         F.sum("t.place").alias("places"),
-        F.first("t.text").alias("text"),
+        F.max("t.text").alias("text"),
+        F.max("t.around").alias("around"),
         F.bit_or(F.expr("shiftleft(1L, t.before)")).alias("before"),
         F.bit_or(F.expr("shiftleft(1L, t.after)")).alias("after"),
     )
     hosts = parsed.groupBy("host").agg(F.count("*").alias("host_pages"))
-    frequent = vectors.where(F.col("pages") >= CLASS_PAGES).join(hosts, "host").where(
-        F.col("pages") >= CLASS_SHARE * F.col("host_pages")
+    repeated = vectors.where(F.col("pages") >= CLASS_PAGES)
+    # a text's layout: the pages of the host that have its element, or all if it lies in none
+    layouts = repeated.where(~F.col("text")).select("host", F.col("token").alias("around"), F.col("pages").alias("layout_pages"))
+    frequent = (
+        repeated.join(hosts, "host")
+        .join(layouts, ["host", "around"], "left")
+        .where(~F.col("text") | (F.col("pages") >= CLASS_SHARE * F.coalesce("layout_pages", "host_pages")))
     )
     possible = F.least(F.lit(48.0), F.col("pages"))
     varied = F.greatest(F.bit_count("before"), F.bit_count("after")) >= NEIGHBOURS * possible

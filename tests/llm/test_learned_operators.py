@@ -142,6 +142,18 @@ def test_template_is_taken_out_and_odd_pages_survive(spark):
     assert page_templates.extract_main_text(pages.limit(0)).count() == 0
 
 
+def test_layouts_of_one_host_have_their_own_constants(spark):
+    """Plain elements; each of three layouts is on a third of the host's pages."""
+    layout = (
+        '<html><body><div class="{k}top"><div class="{k}line">Home of {k}</div></div><div class="{k}text"><p>Words {n} of {k}.</p>'
+        '<p>More {n}.</p></div><div class="{k}end"><div class="{k}line">All about {k}</div></div></body></html>'
+    )
+    rows = [(n, f"http://d.example/{n}", layout.format(k="uvw"[n % 3], n=n)) for n in range(36)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for r in page_templates.extract_main_text(pages).collect():
+        assert r.main_text == f"Words {r.page_id} of {'uvw'[r.page_id % 3]}.\n\nMore {r.page_id}."
+
+
 def test_names_never_empty_a_page():
     """Classes of raw pages that only look like those of menus and the like."""
     text = "<p>First words.</p><p>Second words.</p>"
