@@ -2,8 +2,8 @@
 
 Patterns give candidate spans.  The hash of each candidate value is counted over the whole
 corpus by distinct repositories and owners.  A value that many owners hold is an example
-that people copy; a value of few owners and repositories looks live.  Strings that only
-look random are reported if they look live, while pattern spans always stay.
+that people copy; a value of few owners looks live, in however many repositories of theirs
+it is.  All spans are reported, and ``live`` tells the two apart.
 """
 
 from __future__ import annotations
@@ -18,8 +18,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from loanweave.llm.common import annotate, as_texts, stored, table
 
 KINDS = ("assign", "access", "hex", "entropy")
-#: Values held by at most so many owners and repositories count as live.
-LIVE_OWNERS, LIVE_REPOSITORIES = 1, 5
+#: Values held by at most so many owners, or this share of all owners if that is more, count
+#: as live.
+LIVE_OWNERS, LIVE_SHARE = 2, 0.1
 #: Shannon bits per character from which a mixed string counts as random.
 ENTROPY_BITS = 3.8
 
@@ -100,15 +101,15 @@ def find_secrets(
     repository_col: str = "doc_id",
     owner_col: str = "source",
     live_owners: int = LIVE_OWNERS,
-    live_repositories: int = LIVE_REPOSITORIES,
+    live_share: float = LIVE_SHARE,
     carry: list[str] | None = None,
 ) -> DataFrame:
     """Append ``secrets``: kind, start, end, value_sha256, repositories, owners and live.
 
     Every row and column stays; rows with equal ids are told apart.  Null repositories and
-    owners count as one value of their own.  Pattern spans are always listed, random-looking
-    strings only if they look live.  The scan is stored once with the columns named by
-    ``carry`` (default: all), which the result has.
+    owners count as one value of their own.  Every span is listed, copied values with ``live``
+    false.  The scan is stored once with the columns named by ``carry`` (default: all), which
+    the result has.
     """
     kept = docs.columns if carry is None else carry
     scanned = stored(
@@ -121,12 +122,12 @@ def find_secrets(
         )
     )
     counted = ownership(scanned, "_repository", "_owner")
+    few = max(live_owners, live_share * scanned.select("_owner").distinct().count())
     exploded = scanned.select("_row", F.explode("candidates").alias("c"))
     judged = (
         exploded.select("_row", "c.*")
         .join(counted, "value_sha256")
-        .withColumn("live", (F.col("owners") <= live_owners) & (F.col("repositories") <= live_repositories))
-        .where((F.col("kind") != "entropy") | F.col("live"))
+        .withColumn("live", F.col("owners") <= few)
     )
     entry = F.struct("start", "rank", "kind", "end", "value_sha256", "repositories", "owners", "live")
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).alias("rank")

@@ -160,6 +160,20 @@ def test_ownership_separates_copied_from_live(spark):
     assert redacted[0] == "id <access> here" and redacted[20] == "é <access> <entropy>" and redacted[21] is None
 
 
+def test_copied_values_are_listed_and_owners_decide(spark):
+    """Many documents of one owner, and a copy in a second source, don't make a value an example."""
+    hot, twice, wide = "Zx9Kq2Lm8Vb4Nc7Tr1Ys", "Qw3Er5Ty7Ui9Op1As2Df", "Mn8Bv6Cx4Zl2Kj1Hg3Fd"
+    rows = [(i, f"key {hot} {i}", "big") for i in range(9)] + [(10 + i, f"key {hot}", "big") for i in range(9)]
+    rows += [(30, f"key {twice}", "big"), (31, f"key {twice}", "small")]
+    rows += [(40 + i, f"key {wide} {i}", f"owner{i}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    found = secrets.find_secrets(docs)
+    by = {r.doc_id: [(s.kind, s.owners, s.live) for s in r.secrets] for r in found.collect()}
+    assert by[0] == by[10] == [("entropy", 1, True)] and by[30] == by[31] == [("entropy", 2, True)]
+    assert all(by[40 + i] == [("entropy", 12, False)] for i in range(12))
+    assert {r.text for r in secrets.redact(found).where("doc_id >= 40").collect()} == {f"key <entropy> {i}" for i in range(12)}
+
+
 def test_secrets_of_odd_rows(odd):
     out = secrets.find_secrets(odd).collect()
     assert len(out) == len(ODD)
