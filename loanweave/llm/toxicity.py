@@ -21,8 +21,8 @@ from loanweave.llm.nbsvm import held_out
 
 #: Labelled rows the classifier learns from at most, those with the smallest hash of their id.
 SAMPLE_ROWS = 16_000
-#: Orders of the language model and buckets of each order's count table (a fixed size).
-ORDERS, BITS = 4, 18
+#: Orders of the language model, and characters a task gathers before it adds up their n-grams.
+ORDERS, GATHERED = 4, 1_000_000
 #: Lengths of the beginnings and endings of words that are features beside the word itself.
 AFFIXES = (4, 5, 6)
 #: Chance of error over all features tested, and a document's score without any finding.
@@ -54,23 +54,25 @@ _CORE = re.compile(rf"[\w{_SIGNS}]+(?:['’][\w]+)*")
 _RUN = re.compile(r"(.)\1*", re.DOTALL)
 _SPACED = re.compile(rf"(?<![^\s.,;:])(?:[\w{_SIGNS}](?:[ .*_-]|\s\s?)){{3,}}[\w{_SIGNS}](?![^\s.,;:!?])")
 _WORD = re.compile(r"[^\W_]+")
-_MASK = 0xFFFFFFFF
-_STEP, _MIX = 0x01000193, 0x9E3779B1
+_MASK = 0xFFFFFFFFFFFFFFFF
+_STEP = 0x9E3779B97F4A7C15
 
 
 class CharacterModel:
-    """Interpolated character n-grams over hashed count tables."""
+    """Interpolated character n-grams over the counts of ``character_counts``."""
 
-    def __init__(self, counts: np.ndarray, weight: float = 4.0):
+    def __init__(self, counts: list[tuple[np.ndarray, np.ndarray]], weight: float = 4.0):
         self.counts, self.weight = counts, weight
-        self.total = float(counts[0].sum()) or 1.0
+        self.total = float(counts[0][1].sum()) or 1.0
         self.cached: dict[str, float] = {}
 
     def _count(self, gram: str) -> float:
         h = 0
         for c in gram:
             h = (h * _STEP + ord(c)) & _MASK
-        return float(self.counts[len(gram) - 1][((h * _MIX) & _MASK) >> (32 - BITS)])
+        keys, numbers = self.counts[len(gram) - 1]
+        at = int(np.searchsorted(keys, np.uint64(h)))
+        return float(numbers[at]) if at < len(keys) and int(keys[at]) == h else 0.0
 
     def cost(self, context: str, c: str) -> float:
         """-log P(c | up to three characters before)."""
@@ -81,59 +83,76 @@ class CharacterModel:
             for n in range(2, len(gram) + 1):
                 part = gram[-n:]
                 p = (self._count(part) + self.weight * p) / (self._count(part[:-1]) + self.weight)
-            known = -math.log(max(min(p, 1.0), 1e-12))
+            known = -math.log(max(p, 1e-12))
             if len(self.cached) > CACHE:
                 self.cached.clear()
             self.cached[gram] = known
         return known
 
 
-def character_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Hashed character n-gram counts of every whole text, orders 1 to ORDERS.
+def character_counts(docs: DataFrame, text_col: str = "text") -> list[tuple[np.ndarray, np.ndarray]]:
+    """Character n-gram counts of every whole text: sorted keys and numbers of orders 1 to ORDERS.
 
-    Each task adds up a table of fixed size and sends what is not zero, so the driver gets at
-    most ORDERS x 2**BITS rows, however large the corpus is.
+    A key is a 64-bit hash of one n-gram, so the counts are those of single n-grams (chance of
+    any collision among 5 million: about 1e-6).  Tasks and the driver hold 16 bytes for each
+    distinct n-gram, whose number grows much more slowly than the corpus.
     """
     bounded_batches(docs.sparkSession)
-    size = 1 << BITS
 
     def run(batches):
-        counts = np.zeros((ORDERS, size), np.int64)
+        found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in range(ORDERS)]
         pending: list[list[np.ndarray]] = [[] for _ in range(ORDERS)]
+        waiting = 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if not text:
                     continue
                 line = f" {' '.join(text.lower().split())} "
-                codes = np.frombuffer(line.encode("utf-32-le"), np.uint32)
-                h = np.zeros(len(codes), np.uint32)
+                codes = np.frombuffer(line.encode("utf-32-le"), np.uint32).astype(np.uint64)
+                h = np.zeros(len(codes), np.uint64)
                 for n in range(1, min(ORDERS, len(codes)) + 1):
-                    h = h[: len(codes) - n + 1] * np.uint32(_STEP) + codes[n - 1 :]
-                    slots = (h * np.uint32(_MIX)) >> np.uint32(32 - BITS)
-                    pending[n - 1].append(slots)
-                if sum(map(len, pending[0])) > 1_000_000:
-                    _add(counts, pending)
-        _add(counts, pending)
-        used = np.flatnonzero(counts)
-        for k in range(0, len(used), 50_000):
-            part = used[k : k + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part.astype(np.int32)), pa.array(counts.ravel()[part])], names=["slot", "n"]
-            )
+                    h = h[: len(codes) - n + 1] * np.uint64(_STEP) + codes[n - 1 :]
+                    pending[n - 1].append(h)
+                waiting += len(codes)
+                if waiting > GATHERED:
+                    found, waiting = _added(found, pending), 0
+        for n, (keys, numbers) in enumerate(_added(found, pending)):
+            for k in range(0, len(keys), 50_000):
+                part = keys[k : k + 50_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(part), n, np.int32)), pa.array(part.view(np.int64)), pa.array(numbers[k : k + 50_000])],
+                    names=["length", "gram", "n"],
+                )
 
     summed = (
-        docs.select(text_col).mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+        docs.select(text_col)
+        .mapInArrow(run, "length int, gram bigint, n bigint")
+        .groupBy("length", "gram")
+        .agg(F.sum("n").alias("n"))
+        .toArrow()
     )
-    counts = np.zeros(ORDERS * size, np.float32)
-    counts[summed["slot"].to_numpy()] = summed["n"].to_numpy()
-    return counts.reshape(ORDERS, size)
-
-
-def _add(counts: np.ndarray, pending: list[list[np.ndarray]]) -> None:
-    for n, parts in enumerate(pending):
+    lengths, grams, numbers = (summed[c].to_numpy() for c in ("length", "gram", "n"))
+    out = []
+    for n in range(ORDERS):
+        keys, counts = grams[lengths == n].view(np.uint64), numbers[lengths == n]
+        order = np.argsort(keys)
+        out.append((keys[order], counts[order]))
+    return out
+
+
+def _added(found: list[tuple[np.ndarray, np.ndarray]], pending: list[list[np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Keys and numbers with those of the pending keys added; ``pending`` is emptied."""
+    out = []
+    for (keys, numbers), parts in zip(found, pending):
         if parts:
-            counts[n] += np.bincount(np.concatenate(parts), minlength=counts.shape[1])
+            new, times = np.unique(np.concatenate(parts), return_counts=True)
             parts.clear()
+            merged, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
+            total = np.zeros(len(merged), np.int64)
+            np.add.at(total, at, np.concatenate([numbers, times]))
+            keys, numbers = merged, total
+        out.append((keys, numbers))
+    return out
 
 
 def lattice(span: str) -> list[list[tuple[str, float]]]:
@@ -183,7 +202,7 @@ def decode(span: str, model: CharacterModel) -> str:
 class Restorer:
     """Restores texts; remembers the readings of tokens."""
 
-    def __init__(self, counts: np.ndarray):
+    def __init__(self, counts: list[tuple[np.ndarray, np.ndarray]]):
         self.model = CharacterModel(counts)
         self.known: dict[str, str] = {}
 

@@ -34,6 +34,23 @@ def test_held_out_accuracy(spark, name, label, least):
     assert out.where("score < 0 or score > 1 or (score >= 0.3) != (predicted = 1)").isEmpty()
 
 
+def test_character_counts_are_those_of_single_ngrams(spark):
+    """More distinct 4-grams than a table of 2**18 slots keeps apart."""
+    draw = random.Random(3)
+    rows = [("".join(chr(0x4E00 + draw.randrange(3000)) for _ in range(500)),) for _ in range(800)] + [(None,), ("",)]
+    counts = toxicity.character_counts(spark.createDataFrame(rows, "text string").repartition(3))
+    model = toxicity.CharacterModel(counts)
+    want = defaultdict(int)
+    for text, in rows:
+        line = f" {text} " if text else ""
+        for n in range(1, 5):
+            for k in range(len(line) - n + 1):
+                want[line[k : k + n]] += 1
+    assert sum(len(keys) for keys, _ in counts) == len(want) > 2**18
+    sample = draw.sample(sorted(want), 5000)
+    assert [model._count(g) for g in sample] == [want[g] for g in sample] and model._count("zzzz") == 0
+
+
 def odd_documents(spark):
     rows = [(1, None), (2, ""), (2, ""), (None, "abc"), (3, "good text here " * 5000)]
     return spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("score", F.lit("clash"))
