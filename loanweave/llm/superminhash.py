@@ -243,7 +243,7 @@ def _followed(hooks: DataFrame) -> DataFrame:
             return ends
 
 
-def _buckets(nodes: DataFrame, width: int = 1) -> DataFrame:
+def _buckets(nodes: DataFrame) -> DataFrame:
     """``bucket``, ``node``, ``n`` and ``weight`` of the buckets with several members.
 
     Bands often gather the same members: of buckets with equal member sets (equal digests
@@ -312,9 +312,7 @@ def _compared(
 def _links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """``node`` and ``label`` of the linked nodes among node, set_key, n and bands.
 
-    Members of a bucket of two bands at once are very similar, so one centre in each of these
-    joins most of a group of near copies with few comparisons.  Then, turn by turn, the
-    heaviest centre, the next 2, 4, 8 and so on of every open bucket of single bands are
+    A first turn compares one centre of every bucket.  Then, turn by turn, the heaviest centre, the next 2, 4, 8 and so on of every open bucket of single bands are
     compared with the members of other groups.  A bucket is closed once the members that were
     never a centre belong to one group.
     """
@@ -322,8 +320,8 @@ def _links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
     involved = stored(nodes.join(waiting.select("node").distinct(), "node", "left_semi"))
     elements = stored(_elements(involved.select("node", "set_key"), docs, size))
     labels = involved.select("node", F.col("node").alias("label"))
-    wide = _buckets(involved, 2).withColumn("done", F.lit(False))
-    labels, _ = _compared(wide, labels, elements, 1, percent)
+    first = _buckets(involved).withColumn("done", F.lit(False))
+    labels, _ = _compared(first, labels, elements, 1, percent)
     centres = 1
     while not waiting.isEmpty():
         release(docs.sparkSession)

@@ -324,6 +324,11 @@ def test_odd_vectors_ties_and_copies(spark):
     assert multi_index.nearest_neighbours(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_buckets_have_no_unused_parameter():
+    code = superminhash._buckets.__code__
+    assert code.co_varnames[: code.co_argcount] == ("nodes",)
+
+
 # ---------------------------------------------------------------- pipeline
 
 
