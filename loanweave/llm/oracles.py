@@ -51,3 +51,40 @@ reached(doc_id, other) as (
 select doc_id, cast(n as bigint) as n_shingles, component_id, doc_id = component_id as kept
 from sizes join (select doc_id, min(other) as component_id from reached group by doc_id) using (doc_id)
 """
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+RANKED_SEARCH = rf"""
+with docs as (select doc_id, regexp_extract_all({_LOWER}, '{_TERM}') as w from documents),
+totals as (select count(*) filter (len(w) > 0) as big_n, sum(len(w)) as big_l from docs),
+each as (
+  select doc_id, len(w) as n, unnest(w) as term from docs),
+held as (select doc_id, any_value(n) as n, term, count(*) as tf from each group by doc_id, term),
+weights as (
+  select term, cast(floor(1000 * ln(cast(2 * big_n + 2 as double) / (2 * count(*) + 1))) as bigint) as weight
+  from held, totals group by term, big_n),
+asked as (
+  select item_id, term, count(*) as times
+  from (select item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) as term from benchmark) group by item_id, term),
+scored as (
+  select item_id, doc_id,
+    sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + cast((25 * n * big_n) // big_l as bigint))))) as score
+  from asked join weights using (term) join held using (term), totals group by item_id, doc_id)
+select item_id, cast(place as integer) as rank, doc_id, cast(score as bigint) as score
+from (select *, row_number() over (partition by item_id order by score desc, doc_id) as place from scored where score > 0)
+where place <= 20
+"""
+
+LARGEST_PRODUCTS = """
+with rows as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from embeddings
+  where embedding is not null and vec_id is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, p.vec_id, cast(list_inner_product(q.v, p.v) as bigint) as score
+  from rows q join rows p on q.vec_id <> p.vec_id where q.vec_id % 50 = 0)
+select query_id, cast(place as integer) as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as place from scored)
+where place <= 5
+"""
