@@ -132,6 +132,32 @@ def segmented_dataset(
     return _drop_helpers(kept)
 
 
+def all_features(
+    joined: DataFrame, row_id: str | None = None, history: History = History(), max_rows: int = MAX_HISTORY_ROWS,
+) -> DataFrame:
+    """The features of any panel; keys beyond ``max_rows`` rows are segmented."""
+    if row_id is not None:
+        history = replace(history, row_id=row_id)
+    short, long = _by_length(joined, row_id, history, max_rows)
+    made = features.history_features(short, history)
+    if long is None:
+        return made
+    cut, _ = segmented_features(long, row_id, history, max_rows)
+    return made.unionByName(_drop_helpers(cut.filter("_own")))
+
+
+def _by_length(joined: DataFrame, row_id: str | None, history: History, max_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of short histories, and those of long ones if there are any."""
+    keys = long_keys(joined, max_rows, history)
+    found = keys.count()
+    if not found:
+        return joined, None
+    if row_id is None:
+        raise ValueError(f"{found} keys have more than {max_rows} rows: name a row_id to order them")
+    keys = F.broadcast(keys) if found <= BROADCAST_KEYS else keys
+    return joined.join(keys, history.key, "left_anti"), joined.join(keys, history.key, "left_semi")
+
+
 def features_and_target(
     joined: DataFrame, row_id: str | None = None, history: History = History(),
     max_rows: int | None = MAX_HISTORY_ROWS, threshold: int = target.THRESHOLD_DAYS,
@@ -152,15 +178,8 @@ def features_and_target(
 
     if max_rows is None:
         return whole(joined)
-    keys = long_keys(joined, max_rows, history)
-    found = keys.count()
-    if not found:
-        return whole(joined)
-    if row_id is None:
-        raise ValueError(f"{found} keys have more than {max_rows} rows: name a row_id to order them")
-    keys = F.broadcast(keys) if found <= BROADCAST_KEYS else keys
-    short = whole(joined.join(keys, history.key, "left_anti"))
-    long = segmented_dataset(
-        joined.join(keys, history.key, "left_semi"), row_id, history, max_rows, threshold, lookahead
-    )
-    return short.unionByName(long)
+    short, long = _by_length(joined, row_id, history, max_rows)
+    if long is None:
+        return whole(short)
+    cut = segmented_dataset(long, row_id, history, max_rows, threshold, lookahead)
+    return whole(short).unionByName(cut)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from loanweave import columns as c
 from loanweave.sources.storage import existing_paths, write_parquet
@@ -75,6 +75,38 @@ def read_years(
     return add_reporting_year(df) if layout == "performance" else df
 
 
+CORRUPT, STATUS = "_corrupt_record", "_status"
+STATUSES = ("good", "repaired", "rejected")
+
+
+def all_records(spark: SparkSession, directory: str, years: Sequence[int], layout: str) -> tuple[DataFrame, Observation]:
+    """Every line of the years in ONE scan, none lost, and counts by status from the same pass.
+
+    ``_status`` is ``rejected`` for lines without a loan id, ``repaired`` for lines in which a
+    field did not parse (it is NULL then) or whose number of fields is wrong, else ``good``;
+    ``_corrupt_record`` holds the text of lines that are not as the layout wants them.  The
+    observation has its counts once the frame was written.
+    """
+    found = existing_paths(spark, [f"{directory.rstrip('/')}/{FILE_PREFIXES[layout]}_{year}.txt" for year in years])
+    if not found:
+        raise FileNotFoundError(f"no {FILE_PREFIXES[layout]}_<year>.txt for {list(years)} in {directory}")
+    lines = spark.read.schema(f"{LAYOUTS[layout]}, {CORRUPT} string").csv(
+        found, sep="|", header=False, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT
+    )
+    year = F.regexp_extract(F.col("_metadata.file_path"), YEAR_IN_NAME, 1)
+    status = F.when(F.col(c.KEY).isNull(), "rejected").when(F.col(CORRUPT).isNotNull(), "repaired").otherwise("good")
+    df = add_lineage(lines, year).withColumn(STATUS, status)
+    if layout == "performance":
+        df = df.withColumn("reporting_year", F.substring(c.TIME, 1, 4).try_cast("int"))
+    counts = Observation()
+    return df.observe(counts, *[F.count_if(F.col(STATUS) == n).alias(n) for n in STATUSES]), counts
+
+
+def usable_records(records: DataFrame) -> DataFrame:
+    """The good and the repaired rows of a bronze table, as the layout wants them."""
+    return records.filter(F.col(STATUS) != "rejected").drop(STATUS, CORRUPT)
+
+
 def union_years(frames: Sequence[DataFrame]) -> DataFrame:
     """Union by name; a column that some year lacks is NULL there."""
     combined = frames[0]

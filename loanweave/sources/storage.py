@@ -62,6 +62,10 @@ def unless_present(
             path_exists(spark, f"{note}/_SUCCESS") and spark.read.text(note).first()[0] == wanted
         ):
             return spark.read.parquet(path)
+    if wanted is not None and path_exists(spark, note):
+        # the old note goes before the table changes: a job lost in between is made again
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(note)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
     table = write_parquet(build(), path, partition_by)
     if wanted is not None:
         spark.createDataFrame([(wanted,)], "value string").coalesce(1).write.mode("overwrite").text(note)
@@ -78,6 +82,17 @@ def file_sizes(spark: SparkSession, paths: Sequence[str]) -> dict[str, int]:
     return found
 
 
+def file_states(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[int]]:
+    """Bytes and modification time of each path that exists."""
+    conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    found = {}
+    for path in existing_paths(spark, paths):
+        hadoop = jvm.org.apache.hadoop.fs.Path(path)
+        status = hadoop.getFileSystem(conf).getFileStatus(hadoop)
+        found[path] = [status.getLen(), status.getModificationTime()]
+    return found
+
+
 def dataset_status(spark: SparkSession, expected: Mapping[str, str]) -> DataFrame:
     """Which of the required tables are present, one row each."""
     rows = [(name, path, path_exists(spark, path)) for name, path in expected.items()]
