@@ -10,13 +10,14 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from loanweave.columns import KEY, TIME
+from loanweave.columns import CATEGORICAL_FEATURES, DROP_FEATURES, KEY, TIME
 from loanweave.operators import calibration, importance, learning, preparation, splits, tuning
 from loanweave.operators.preparation import LABEL
 from loanweave.plans import dataset
+from loanweave.plans.adapters import ORIGINATION_EXPRESSIONS
 from loanweave.plans.catalog_cleaning import LOANS_CLEAN_SQL
 from loanweave.plans.catalog_metrics import rounded
-from loanweave.plans.catalog_panel import _REMAINING, _SPLIT, target_sql
+from loanweave.plans.catalog_panel import _ISLANDS, _SPLIT, ALL_FEATURES, ALL_FEATURES_SQL, W, rounded_features, target_sql
 from loanweave.plans.registry import query, r6
 from loanweave.session import checkpointed
 
@@ -59,23 +60,43 @@ def predictions(model, rows):
 _DATASET_SQL = target_sql() + f""", dataset as (select *, {_SPLIT} as split from labelled where {_SPLIT} is not null)"""
 
 
-@query(
-    "drv_11_dataset",
-    f"""select {KEY}, {TIME}, target, split, CREDIT_SCORE, ORIGINAL_LTV, CURRENT_ACTUAL_UPB, ELTV,
-      {_REMAINING} as remaining_balance_pct, cast(ceil(cast(substr({TIME}, 5, 2) as integer) / 3.0) as integer) as observation_quarter from dataset""",
-    uses="loans panel",
-    ctes=_DATASET_SQL,
+_STATIC = (
+    "CREDIT_SCORE FIRST_TIME_HOMEBUYER_FLAG MSA MI_PERCENTAGE NUMBER_OF_UNITS OCCUPANCY_STATUS ORIGINAL_CLTV "
+    "ORIGINAL_DTI ORIGINAL_UPB ORIGINAL_LTV ORIGINAL_INTEREST_RATE CHANNEL PPM_FLAG PROPERTY_STATE PROPERTY_TYPE "
+    "LOAN_PURPOSE ORIGINAL_LOAN_TERM NUMBER_OF_BORROWERS"
+).split()
+_CURRENT = (
+    "CURRENT_ACTUAL_UPB ELTV INTEREST_BEARING_UPB CURRENT_LOAN_DELINQUENCY_STATUS LOAN_AGE "
+    "REMAINING_MONTHS_TO_LEGAL_MATURITY MODIFICATION_FLAG CURRENT_INTEREST_RATE"
+).split()
+_MODEL_FEATURES = [n for n in ALL_FEATURES if n not in DROP_FEATURES]
+
+
+FRAME_COLUMNS = [KEY, TIME, "target", "split", *_STATIC, *_CURRENT, *_MODEL_FEATURES]
+FRAME_CTES = _DATASET_SQL + _ISLANDS
+FRAME_SQL = (
+    f"select d.{KEY}, d.{TIME}, d.target, d.split, {', '.join(f'l.{n}' for n in _STATIC)}, {', '.join(f'p.{n}' for n in _CURRENT)}, "
+    f"{', '.join(f'f.{n}' for n in _MODEL_FEATURES)} from dataset d join loans_clean l using ({KEY}) "
+    f"join panel_clean p using ({KEY}, {TIME}) join (select {KEY}, {TIME}, {ALL_FEATURES_SQL} from islands {W}) f using ({KEY}, {TIME})"
 )
+
+
+def dataset_frame(t):
+    """Every column that reaches a model."""
+    df = dataset.create_dataset(t.loans(), t.panel())
+    return df.select(*[n for n in FRAME_COLUMNS if n not in _MODEL_FEATURES], *rounded_features(df, _MODEL_FEATURES))
+
+
+@query("drv_11_dataset", FRAME_SQL, uses="loans panel", ctes=FRAME_CTES)
 def _(t):
-    return dataset.create_dataset(t.loans(), t.panel()).select(
-        KEY, TIME, "target", "split", "CREDIT_SCORE", "ORIGINAL_LTV", "CURRENT_ACTUAL_UPB", "ELTV",
-        "remaining_balance_pct", "observation_quarter",
-    )
+    return dataset_frame(t)
 
 
 # ---------------------------------------------------------------- preparation
 
-_CATEGORIES = ["CHANNEL", "OCCUPANCY_STATUS", "MSA"]
+# the configured categories of the loans and their remaining text columns
+_CATEGORIES = [n for n in ORIGINATION_EXPRESSIONS if n in CATEGORICAL_FEATURES or n in ("MSA", "SELLER_NAME")]
+_NUMBERS = [n for n in (*_STATIC, "MATURITY_DATE") if n not in (*_CATEGORIES, "MSA", "MATURITY_DATE")]
 
 
 def _prepared(categorical, numeric, **options) -> Pipeline:
@@ -83,7 +104,8 @@ def _prepared(categorical, numeric, **options) -> Pipeline:
 
 
 def _text_sql(n: str) -> str:
-    return f"case when {n} is null or {n} in ('nan', 'None', '') then 'MISSING' else {n} end"
+    text = f"cast({n} as varchar)"
+    return f"case when {n} is null or {text} in ('nan', 'None', '') then 'MISSING' else {text} end"
 
 
 @query(
@@ -135,31 +157,29 @@ def _(t):
 
 @query(
     "ml_07_fill_zero",
-    f"select {KEY}, coalesce(cast(CREDIT_SCORE as double), 0) as CREDIT_SCORE, coalesce(cast(ORIGINAL_LTV as double), 0) as ORIGINAL_LTV from loans_clean",
+    f"select {KEY}, {', '.join(f'coalesce(cast({n} as double), 0) as {n}' for n in _NUMBERS)} from loans_clean",
     uses="loans",
     ctes=LOANS_CLEAN_SQL,
 )
 def _(t):
-    names = ["CREDIT_SCORE", "ORIGINAL_LTV"]
-    filled = preparation.fill_stage([], names).transform(t.clean()[0])
-    return filled.select(KEY, *[F.col(f"_num_{n}").alias(n) for n in names])
+    filled = preparation.fill_stage([], _NUMBERS).transform(t.clean()[0])
+    return filled.select(KEY, *[F.col(f"_num_{n}").alias(n) for n in _NUMBERS])
 
 
 @query(
     "ml_08_standard_scaling",
     f"select {KEY}, "
     + ", ".join(
-        f"round(({n} - avg({n}) over ()) / stddev_samp({n}) over (), 6) as {n}"
-        for n in ("ORIGINAL_DTI", "ORIGINAL_UPB")
+        f"round((x_{n} - avg(x_{n}) over ()) / stddev_samp(x_{n}) over (), 6) as {n}" for n in _NUMBERS
     )
-    + " from loans",
+    + f" from (select {KEY}, {', '.join(f'coalesce(cast({n} as double), 0) as x_{n}' for n in _NUMBERS)} from loans_clean)",
     uses="loans",
+    ctes=LOANS_CLEAN_SQL,
 )
 def _(t):
-    names = ["ORIGINAL_DTI", "ORIGINAL_UPB"]
-    df = t.loans().select(KEY, *names)
-    scaled = _prepared([], names, scale=True).fit(df).transform(df).withColumn("v", vector_to_array("features"))
-    return scaled.select(KEY, *[r6(F.col("v")[i], n) for i, n in enumerate(names)])
+    df = t.clean()[0].select(KEY, *_NUMBERS)
+    scaled = _prepared([], _NUMBERS, scale=True).fit(df).transform(df).withColumn("v", vector_to_array("features"))
+    return scaled.select(KEY, *[r6(F.col("v")[i], n) for i, n in enumerate(_NUMBERS)])
 
 
 _SCHEMES = ["balanced", "sqrt_balanced", "unbalance", 10.0, None]

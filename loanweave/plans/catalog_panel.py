@@ -8,9 +8,10 @@ from loanweave import columns as c
 from loanweave.columns import KEY, TIME
 from loanweave.functions import expressions as x
 from loanweave.functions.history import History
-from loanweave.operators import cleaning, features, loans, splits, target
+from loanweave.operators import cleaning, features, incremental, loans, splits, target
 from loanweave.plans.catalog_cleaning import LOANS_CLEAN_SQL, PANEL_CLEAN_SQL
 from loanweave.plans.registry import query, r6
+from loanweave.session import checkpointed
 from loanweave.sources import ingest
 
 JOINED_SQL = (
@@ -54,6 +55,12 @@ def panel_query(name: str, listing: str, extra: str = "", source: str = "base",
 UNROUNDED = {"remaining_balance_pct", "principal_paid_pct", "age_balance_interaction"}
 
 
+#: SQL listings and names of all features, collected from the queries of the single ones.
+FEATURE_SQL: dict[str, str] = {}
+FEATURE_NAMES: dict[str, list[str]] = {}
+DEVIATIONS = {f"rolling_std_{s}_6m": 4 if s == "balance" else 6 for s in features.ROLLING.values()}
+
+
 def window_query(name: str, listing: str, extra: str = "", source: str = "base"):
     """A query whose Spark side is a projection of ``create_all_features``.
 
@@ -62,6 +69,8 @@ def window_query(name: str, listing: str, extra: str = "", source: str = "base")
 
     def register(names: str):
         names = names.split()
+        FEATURE_SQL[name] = listing
+        FEATURE_NAMES[name] = names
 
         @panel_query(name, listing, extra, source)
         def _(t):
@@ -282,16 +291,15 @@ window_query(
 )(" ".join(f"rolling_{k}_{s}_6m" for s in features.ROLLING.values() for k in ("avg", "min", "max")))
 
 
-@panel_query(
-    "win_19_rolling_deviation",
-    ", ".join(
-        f"round(stddev_pop({column}) over w6, {4 if suffix == 'balance' else 6}) as rolling_std_{suffix}_6m"
-        for column, suffix in features.ROLLING.items()
-    ),
+_DEVIATION_SQL = ", ".join(
+    f"round(stddev_pop({column}) over w6, {4 if suffix == 'balance' else 6}) as rolling_std_{suffix}_6m"
+    for column, suffix in features.ROLLING.items()
 )
+
+
+@panel_query("win_19_rolling_deviation", _DEVIATION_SQL)
 def _(t):
-    names = {f"rolling_std_{s}_6m": 4 if s == "balance" else 6 for s in features.ROLLING.values()}
-    return t.features().select(KEY, TIME, *[F.round(n, d).alias(n) for n, d in names.items()])
+    return t.features().select(KEY, TIME, *[F.round(n, d).alias(n) for n, d in DEVIATIONS.items()])
 
 
 @panel_query(
@@ -310,35 +318,42 @@ def _(t):
     )
 
 
-ALL_FEATURES = (
-    "observation_quarter max_delinquency_12m num_delinquent_months_12m "
-    "consecutive_delinquent_months months_since_last_delinquency ever_modified "
-    "months_since_modification payment_deferral_count"
-).split()
-_ALL_SQL = (
-    f"cast(ceil(cast(substr({TIME}, 5, 2) as integer) / 3.0) as integer) as observation_quarter, "
-    "max(lvl) over w12 as max_delinquency_12m, "
-    "cast(sum(late) over w12 as bigint) as num_delinquent_months_12m, "
-    f"cast(case when late = 1 then row_number() over (partition by {KEY}, late, island order by {TIME}) else 0 end as integer) as consecutive_delinquent_months, "
-    "cast(coalesce(mi - max(case when lvl > 0 then mi end) over wc, -1) as integer) as months_since_last_delinquency, "
-    "max(case when MODIFICATION_FLAG in (1, 2) then 1 else 0 end) over wc as ever_modified, "
-    "cast(coalesce(mi - max(case when MODIFICATION_FLAG = 1 then mi end) over wc, -1) as integer) as months_since_modification, "
-    "cast(sum(case when PAYMENT_DEFERRAL_FLAG in (1, 2) then 1 else 0 end) over wc as bigint) as payment_deferral_count, "
-    f"{_REMAINING} as remaining_balance_pct, "
-    "round(avg(CURRENT_ACTUAL_UPB) over w6, 6) as rolling_avg_balance_6m, "
-    "round(max(ELTV) over w6, 6) as rolling_max_eltv_6m, "
-    f"LOAN_AGE * {_REMAINING} as age_balance_interaction"
-)
+# the rolling extremes hold the average balance, too
+_SINGLE = [n for n in FEATURE_SQL if n != "win_11_average_balance"]
+ALL_FEATURES = [*(f for n in _SINGLE for f in FEATURE_NAMES[n]), *DEVIATIONS]
+ALL_FEATURES_SQL = ", ".join([*(FEATURE_SQL[n] for n in _SINGLE), _DEVIATION_SQL])
+
 
+def rounded_features(df, names=None):
+    """Feature columns as the SQL of the single features rounds them."""
+    doubles = {n for n, kind in df.dtypes if kind == "double"} - UNROUNDED
+    return [F.round(n, DEVIATIONS.get(n, 6)).alias(n) if n in doubles else F.col(n) for n in (names or ALL_FEATURES)]
 
-@panel_query("drv_10_all_features", _ALL_SQL, extra=_ISLANDS, source="islands")
+
+@panel_query("drv_10_all_features", ALL_FEATURES_SQL, extra=_ISLANDS, source="islands")
 def _(t):
     loans_, panel = t.clean()
     df = features.create_all_features(loans_, panel)
-    return df.select(
-        KEY, TIME, *ALL_FEATURES, "remaining_balance_pct", "age_balance_interaction",
-        r6("rolling_avg_balance_6m"), r6("rolling_max_eltv_6m"),
-    )
+    return df.select(KEY, TIME, *rounded_features(df))
+
+
+#: Months up to this one are computed first, the later ones are added.
+ADDED_AFTER = "199812"
+
+
+def added_months(t):
+    """The state of the earlier months, written once, and what the later months add to it."""
+    joined = checkpointed(t.joined())
+    earlier = features.history_features(joined.filter(F.col(TIME) <= ADDED_AFTER))
+    state = checkpointed(incremental.state_of(earlier))
+    return earlier, incremental.advance(state, joined.filter(F.col(TIME) > ADDED_AFTER), joined.columns)
+
+
+@panel_query("drv_12_added_months", ALL_FEATURES_SQL, extra=_ISLANDS, source="islands")
+def _(t):
+    earlier, step = added_months(t)
+    df = earlier.unionByName(step.features)
+    return df.select(KEY, TIME, *rounded_features(df))
 
 
 # ---------------------------------------------------------------- target
@@ -407,6 +422,17 @@ def _(t):
     return t.labelled().select(KEY, TIME, "target")
 
 
+@target_query(
+    "tgt_08_added_months",
+    f"select {KEY}, {TIME}, target, row_num, cumulative_delinquency, future_termination from labelled",
+)
+def _(t):
+    earlier, step = added_months(t)
+    names = [KEY, TIME, "target", "row_num", "cumulative_delinquency", "future_termination"]
+    kept = target.create_target(earlier).join(step.redone, [KEY, TIME], "left_anti")
+    return kept.select(*names).unionByName(step.target.select(*names))
+
+
 @target_query(
     "tgt_06_target_30_days", f"select {KEY}, {TIME}, target from labelled", threshold=30, lookahead=6
 )

@@ -5,20 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loanweave import columns as c
-from loanweave.columns import KEY, TIME
+from loanweave.columns import KEY
 from loanweave.operators import profile
-from loanweave.plans.catalog_cleaning import LOANS_CLEAN_RULES, LOANS_CLEAN_SQL
+from loanweave.plans.adapters import ORIGINATION_EXPRESSIONS
+from loanweave.plans.catalog_cleaning import LOANS_CLEAN_SQL
 from loanweave.plans.catalog_metrics import rounded
+from loanweave.plans.catalog_models import FRAME_COLUMNS, FRAME_CTES, FRAME_SQL, dataset_frame
 from loanweave.plans.registry import query
 
-COLUMNS = [
-    "CREDIT_SCORE", "FIRST_PAYMENT_DATE", "FIRST_TIME_HOMEBUYER_FLAG", "MSA", "MI_PERCENTAGE",
-    "NUMBER_OF_UNITS", "OCCUPANCY_STATUS", "ORIGINAL_DTI", "ORIGINAL_UPB", "ORIGINAL_LTV",
-    "ORIGINAL_INTEREST_RATE", "CHANNEL", "PPM_FLAG", "PROPERTY_STATE", "PROPERTY_TYPE",
-    "POSTAL_CODE", KEY, "LOAN_PURPOSE", "ORIGINAL_LOAN_TERM", "NUMBER_OF_BORROWERS",
-    "SELLER_NAME", "SUPER_CONFORMING_FLAG", "RELIEF_REFINANCE_INDICATOR", "vintage_year",
-]
-TEXT = {"FIRST_PAYMENT_DATE", "MSA", "POSTAL_CODE", KEY, "SELLER_NAME"}
+COLUMNS = list(ORIGINATION_EXPRESSIONS)
+TEXT = {
+    "FIRST_PAYMENT_DATE", "MATURITY_DATE", "MSA", "POSTAL_CODE", KEY, "SELLER_NAME", "SERVICER_NAME",
+    "PRE_RELIEF_REFINANCE_LSN",
+}
 DOUBLES = {"ORIGINAL_UPB", "ORIGINAL_INTEREST_RATE"}
 
 
@@ -47,7 +46,6 @@ PROFILE_SQL = (
     "cardinality <= 50 and top_share > 0.995 as is_near_constant, is_object_dtype or cardinality < 20 as flagged_by_heuristic, "
     "is_object_dtype and cardinality > 100 as is_high_cardinality_object from stats)"
 )
-assert set(COLUMNS) <= {*LOANS_CLEAN_RULES, "MSA", "SELLER_NAME", KEY, "vintage_year"}
 
 
 def profile_query(name: str, sql: str):
@@ -55,7 +53,7 @@ def profile_query(name: str, sql: str):
 
 
 def _loans(t):
-    return t.clean()[0].select(*COLUMNS)
+    return t.clean()[0]
 
 
 def _profile(t):
@@ -102,19 +100,9 @@ def _(t):
     return rounded(low.select("column", "dominant_value_share"), "dominant_value_share")
 
 
-@query(
-    "agg_12_near_constant",
-    "select 'MODIFICATION_FLAG' as \"column\" from panel having max(1) = 1 and "
-    "(select max(n) from (select count(*) as n from panel group by MODIFICATION_FLAG)) / cast(count(*) as double) > 0.8 "
-    "union all select 'ZERO_BALANCE_CODE' from panel having "
-    "(select max(n) from (select count(*) as n from panel group by ZERO_BALANCE_CODE)) / cast(count(*) as double) > 0.8 "
-    "union all select 'DDLPI' from panel having "
-    "(select max(n) from (select count(*) as n from panel group by DDLPI)) / cast(count(*) as double) > 0.8",
-    uses="panel",
-)
+@profile_query("agg_12_near_constant", 'select "column" from stats where top_share > 0.995')
 def _(t):
-    names = ["MODIFICATION_FLAG", "ZERO_BALANCE_CODE", "DDLPI"]
-    return profile.near_constant(profile.exact_statistics(t.panel(), names), 0.8).select("column")
+    return profile.near_constant(profile.exact_statistics(_loans(t))).select("column")
 
 
 @profile_query(
@@ -124,23 +112,22 @@ def _(t):
     return profile.high_cardinality_text(_profile(t)).select("column", "cardinality")
 
 
-_VALUES = ["NUMBER_OF_UNITS", "ORIGINAL_LOAN_TERM", "CHANNEL", "vintage_year"]
+_NUMBERS = [n for n in COLUMNS if n not in TEXT]
 
 
-@query(
+@profile_query(
     "agg_14_review_values",
-    " union all ".join(
-        f"select '{n}' as \"column\", array_to_string(list_slice(list_sort(list(distinct cast({n} as integer))), 1, 15), ',') as sample "
+    "select v.* from (" + " union all ".join(
+        f"select '{n}' as \"column\", array_to_string(list_slice(list_sort(list(distinct round(cast({n} as double), 3))), 1, 15), ',') as sample "
         f"from loans_clean where {n} is not null"
-        for n in _VALUES
-    ),
-    uses="loans",
-    ctes=LOANS_CLEAN_SQL,
+        for n in _NUMBERS
+    ) + ') v join profile using ("column") where not is_object_dtype and cardinality between 1 and 20',
 )
 def _(t):
-    values = profile.sample_values(_loans(t), _VALUES)
-    text = F.transform("values", lambda v: v.cast("int").cast("string"))
-    return values.select("column", F.array_join(text, ",").alias("sample"))
+    df = _loans(t)
+    names = [r["column"] for r in profile.review_candidates(_profile(t)).collect()]
+    text = F.transform("values", lambda v: F.round(v, 3).cast("string"))
+    return profile.sample_values(df, names).select("column", F.array_join(text, ",").alias("sample")).filter("sample <> ''")
 
 
 @profile_query(
@@ -236,11 +223,37 @@ def _names(t, names):
     return t.spark.createDataFrame([(n,) for n in names], "column string")
 
 
+@profile_query("ml_06_drop_constants", 'select "column" from profile where is_object_dtype or cardinality > 1')
+def _(t):
+    return _names(t, profile.drop_constant_columns(_loans(t)).columns)
+
+
+_FLAGS = ["is_constant_numeric", "is_near_constant", "flagged_by_heuristic", "is_high_cardinality_object"]
+
+
+@profile_query(
+    "ml_23_default_profile",
+    f'select "column", dtype, round(null_rate, 6) as null_rate, round(dominant_value_share, 6) as dominant_value_share, {", ".join(_FLAGS)} from profile',
+)
+def _(t):
+    """The default path, with sketches; flags and shares do not depend on their error."""
+    df = profile.column_profile(_loans(t))
+    return rounded(df.select("column", "dtype", "null_rate", "dominant_value_share", *_FLAGS), "null_rate", "dominant_value_share")
+
+
+def _frame_column(name: str) -> str:
+    return (
+        f"select '{name}' as \"column\", count(distinct {name}) as cardinality, "
+        f"round((count(*) - count({name})) / cast(count(*) as double), 6) as null_rate, "
+        f"round((select max(n) from (select count(*) as n from frame group by {name})) / cast(count(*) as double), 6) as dominant_value_share from frame"
+    )
+
+
 @query(
-    "ml_06_drop_constants",
-    f"select {KEY}, {TIME}, CURRENT_ACTUAL_UPB, LOAN_AGE from panel",
-    uses="panel",
+    "ml_23_dataset_profile",
+    " union all ".join(_frame_column(n) for n in FRAME_COLUMNS),
+    uses="loans panel",
+    ctes=f"{FRAME_CTES}, frame as ({FRAME_SQL})",
 )
 def _(t):
-    df = t.panel().select(KEY, TIME, "CURRENT_ACTUAL_UPB", "LOAN_AGE").withColumn("always", F.lit(7))
-    return profile.drop_constant_columns(df, keep=(KEY, TIME))
+    return rounded(profile.exact_statistics(dataset_frame(t)), "null_rate", "dominant_value_share")
