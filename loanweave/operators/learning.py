@@ -11,11 +11,13 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from loanweave.operators.boosting import BoostedTrees, Growth, fit_trees
+from loanweave.operators.ordered_encoding import ordered_rates
 from loanweave.operators.preparation import (
     LABEL, WEIGHT, add_weight, collected_weights, feature_groups, preparation_stages,
 )
@@ -32,15 +34,15 @@ DEFAULTS: dict[str, dict[str, Any]] = {
     },
     "boosting_a": {
         "n_estimators": 200, "max_depth": 6, "learning_rate": 0.05, "subsample": 0.8,
-        "colsample": 0.8, "class_weight": 10.0,
+        "colsample": 0.8, "class_weight": 10.0, "l2": 1.0, "min_hessian": 1.0,
     },
     "boosting_b": {
-        "n_estimators": 200, "max_depth": 5, "learning_rate": 0.05, "subsample": 0.8,
-        "colsample": 0.8, "class_weight": "unbalance",
+        "n_estimators": 200, "num_leaves": 31, "max_depth": -1, "learning_rate": 0.05, "subsample": 0.8,
+        "bagging_freq": 5, "colsample": 0.8, "class_weight": "unbalance", "l2": 0.0, "min_rows": 20,
     },
     "boosting_c": {
         "n_estimators": 100, "max_depth": 6, "learning_rate": 0.05, "subsample": 1.0,
-        "colsample": 1.0, "max_bins": 254, "class_weight": "balanced",
+        "colsample": 1.0, "max_bins": 254, "class_weight": "balanced", "l2": 3.0,
     },
 }
 NOT_STACKED = ("boosting_c", "ensemble")
@@ -90,23 +92,33 @@ def _forest(p: Mapping[str, Any], total_weight: float, prefix: str, seed: int):
     )
 
 
-def _boosting(p: Mapping[str, Any], total_weight: float, prefix: str, seed: int):
-    outputs = _outputs(prefix)
-    probability, raw = outputs.pop("probabilityCol"), outputs.pop("rawPredictionCol")
-    learner = GBTClassifier(
-        **outputs, weightCol=WEIGHT, maxIter=p["n_estimators"], maxDepth=p["max_depth"],
-        stepSize=p["learning_rate"], subsamplingRate=p["subsample"],
-        featureSubsetStrategy=str(float(p["colsample"])), maxBins=p.get("max_bins", 64), seed=seed,
+def boosting_growth(p: Mapping[str, Any], seed: int, patience: int = PATIENCE) -> Growth:
+    """How the trees of a boosted model grow: by leaves if it names a number of them, else by levels."""
+    return Growth(
+        rounds=p["n_estimators"], learning_rate=p["learning_rate"], max_depth=p["max_depth"] if p["max_depth"] > 0 else None,
+        max_leaves=p.get("num_leaves"), l2=p["l2"], min_rows=p.get("min_rows", 1), min_hessian=p.get("min_hessian", 1e-3),
+        subsample=p["subsample"], bagging_every=p.get("bagging_freq", 1), colsample=p["colsample"],
+        max_bins=p.get("max_bins", 254), patience=patience, seed=seed,
     )
-    return learner.setProbabilityCol(probability).setRawPredictionCol(raw)
+
+
+class _Boosting:
+    """Fits a boosted model on a matrix of label, weight and features."""
+
+    def __init__(self, p: Mapping[str, Any], total_weight: float, prefix: str, seed: int):
+        self.p, self.prefix, self.seed = p, prefix, seed
+
+    def fit(self, matrix: DataFrame, validation: DataFrame | None = None, patience: int = PATIENCE) -> BoostedTrees:
+        growth = boosting_growth(self.p, self.seed, patience)
+        return BoostedTrees(fit_trees(matrix, growth, f"{self.prefix}features", validation), self.prefix)
 
 
 BUILDERS: dict[str, Callable] = {
     "logistic": _logistic,
     "random_forest": _forest,
-    "boosting_a": _boosting,
-    "boosting_b": _boosting,
-    "boosting_c": _boosting,
+    "boosting_a": _Boosting,
+    "boosting_b": _Boosting,
+    "boosting_c": _Boosting,
 }
 
 
@@ -142,7 +154,17 @@ def preparation_kind(model: str) -> tuple[bool, bool]:
 def prepare(model: str, train: DataFrame, features: FeatureSet, prefix: str = "") -> Prepared:
     """Fit the preparation of one kind of model and write the training matrix."""
     fitted = preparation_pipeline(model, features, prefix).fit(train)
-    matrix = checkpointed(fitted.transform(train).select(LABEL, f"{prefix}features"))
+    rows = fitted.transform(train)
+    categorical, _ = features.groups
+    if preparation_kind(model)[1] and categorical:
+        # the model learns from rates of earlier rows; new rows get those of all training rows
+        rates = [f"{prefix}_rate_{n}" for n in categorical]
+        assembler = fitted.stages[-1]
+        needed = [n for n in assembler.getInputCols() if n not in rates]
+        codes = [f"{prefix}_code_{n}" for n in categorical]
+        ordered = ordered_rates(rows.select(LABEL, *needed, *codes), codes)
+        rows = assembler.transform(ordered.withColumnsRenamed({f"{c}__rate": r for c, r in zip(codes, rates)}))
+    matrix = checkpointed(rows.select(LABEL, f"{prefix}features"))
     return Prepared(fitted.stages, matrix, prefix)
 
 
@@ -157,16 +179,14 @@ def fit_prepared(
         raise ValueError(f"training needs both classes, found {sorted(weights)}")
     weighted = add_weight(prepared.matrix, weights)
     total = weighted.agg(F.sum(WEIGHT)).first()[0]
-    fitted = BUILDERS[model](p, total, prepared.prefix, seed).fit(weighted)
+    learner = BUILDERS[model](p, total, prepared.prefix, seed)
     if validation is not None and model.startswith("boosting"):
         held_out = prepared.transform(add_weight(validation, weights)).select(
             LABEL, WEIGHT, f"{prepared.prefix}features"
         )
-        rounds = best_round(fitted.evaluateEachIteration(held_out), patience)
-        if rounds < fitted.getNumTrees:
-            # the same seed grows the same first trees, so this is their prefix
-            shorter = {**p, "n_estimators": rounds}
-            fitted = BUILDERS[model](shorter, total, prepared.prefix, seed).fit(weighted)
+        fitted = learner.fit(weighted, held_out, patience)
+    else:
+        fitted = learner.fit(weighted)
     return PipelineModel(stages=[*prepared.stages, fitted])
 
 

@@ -15,7 +15,7 @@ from loanweave.operators.preparation import LABEL
 from loanweave.session import checkpointed
 
 # The search spaces.  ("int", low, high, step), ("float", low, high),
-# ("log", low, high) or ("choice", values).  Leaf counts and L2 have no counterpart here.
+# ("log", low, high) or ("choice", values).  
 SPACES: dict[str, dict[str, tuple]] = {
     "logistic": {"C": ("log", 1e-4, 10.0), "class_weight": ("choice", ("balanced", None))},
     "random_forest": {
@@ -35,7 +35,8 @@ SPACES: dict[str, dict[str, tuple]] = {
     },
     "boosting_b": {
         "n_estimators": ("int", 100, 500, 50),
-        "max_depth": ("int", 3, 15, 1),
+        "max_depth": ("int", -1, 15, 1),
+        "num_leaves": ("int", 10, 100, 1),
         "learning_rate": ("log", 0.01, 0.3),
         "subsample": ("float", 0.5, 1.0),
         "colsample": ("float", 0.5, 1.0),
@@ -45,6 +46,7 @@ SPACES: dict[str, dict[str, tuple]] = {
         "n_estimators": ("int", 100, 500, 50),
         "max_depth": ("int", 3, 10, 1),
         "learning_rate": ("log", 0.01, 0.3),
+        "l2": ("float", 1.0, 10.0),
         "max_bins": ("int", 50, 255, 1),
         "class_weight": ("choice", ("balanced", "sqrt_balanced", None)),
     },
