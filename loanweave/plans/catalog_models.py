@@ -24,11 +24,13 @@ from loanweave.session import checkpointed
 # The registered queries bound the iterations of the fits, so that all of them run in minutes
 # on one machine; the library's defaults are higher.  Rows, features, folds, trees of the
 # forest and repeats are not reduced.
-FEWER_ROUNDS = {"n_estimators": 50}
+FEWER_ROUNDS, STACK_ROUNDS, PATIENCE = {"n_estimators": 12}, {"n_estimators": 3}, 4
 OVERRIDES = {
     "logistic": {"max_iter": 100},
     "boosting_a": FEWER_ROUNDS, "boosting_b": FEWER_ROUNDS, "boosting_c": FEWER_ROUNDS,
 }
+STACKED = {**OVERRIDES, "boosting_a": STACK_ROUNDS, "boosting_b": STACK_ROUNDS}
+STACK_BASES = ["logistic", "random_forest", "boosting_a", "boosting_b"]
 TRIALS = 4
 IDS = ["row_id", KEY, "split"]
 
@@ -47,7 +49,7 @@ class Training:
     def fit(self, name, **options):
         validation = self.part("validation") if name.startswith("boosting") else None
         return learning.fit_model(
-            name, self.part("train"), self.features, OVERRIDES.get(name), validation, **options
+            name, self.part("train"), self.features, OVERRIDES.get(name), validation, patience=PATIENCE, **options
         )
 
 
@@ -223,7 +225,7 @@ for _number, _name in (
 def _(t):
     training = Training(t)
     model = learning.fit_stack(
-        ["logistic", "random_forest", "boosting_a"], training.part("train"), training.features, overrides=OVERRIDES
+        STACK_BASES, training.part("train"), training.features, overrides=STACKED
     )
     return predictions(model, training.part("test"))
 
@@ -267,10 +269,9 @@ def _(t):
 
 @query("ml_22_stack_importance")
 def _(t):
-    bases = ["logistic", "random_forest"]
     training = Training(t)
-    model = learning.fit_stack(bases, training.part("train"), training.features, overrides=OVERRIDES)
-    return importance.stack_importance(model, bases, t.spark)
+    model = learning.fit_stack(STACK_BASES, training.part("train"), training.features, overrides=STACKED)
+    return importance.stack_importance(model, STACK_BASES, t.spark)
 
 
 @query("ord_02_top_features")
