@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -29,15 +28,6 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle and checkpoint files of tables that are no longer used.
-
-    It does so when the driver collects garbage, which a long loop of small jobs rarely causes.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 

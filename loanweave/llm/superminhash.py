@@ -6,11 +6,11 @@ register once and the estimate varies less than with independent hashes.  Regist
 filled rank by rank for all elements of a document at once, and filling ends as soon as no
 later rank can lower a register, which gives the same signature.
 
-Documents with equal shingle sets are one node.  Nodes that share a band are candidates.  In
-each bucket the first centres are compared with all members of other groups, which gives a
-number of pairs linear in the bucket; what has not been compared stays for a next turn with
-more centres.  The turns end when no bucket holds an untested pair of different groups, so
-no candidate is left out.
+Documents with equal shingle sets are one node.  Nodes that share a band are candidates, and two
+steps verify them on their full sets.  Every member of a bucket is compared with the bucket's
+heaviest one, which gives a number of pairs linear in the bucket.  In buckets that still hold
+several groups, the members outside of the largest group are compared with all of other
+groups, in blocks of bounded size.  No candidate is left out, and the number of steps is fixed.
 """
 
 from __future__ import annotations
@@ -19,16 +19,19 @@ import hashlib
 import math
 
 import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loanweave.llm.common import annotate, as_bytes, release, stored, table
+from loanweave.llm.common import annotate, as_bytes, stored, table
 
 #: Rows of a band, and the chance that a pair at the threshold shares no band.
 BAND_ROWS, MISS = 5, 1e-6
 #: Elements whose ranks are drawn together, and bytes of text hashed together, which bounds
 #: the memory of a long document.
 BLOCK, STRETCH = 1 << 15, 1 << 19
+#: Shingles of one block of a bucket, about; a group of the second step holds two blocks.
+BLOCK_SHINGLES = 1 << 20
 
 # lower case for A-Z, a space for every separator
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
@@ -265,69 +268,113 @@ def _buckets(nodes: DataFrame) -> DataFrame:
     return members.drop("members").join(weights, "node")
 
 
-def _centres(grouped: DataFrame, number: int) -> DataFrame:
-    """``bucket`` and the ``number`` heaviest members that have not been a centre yet."""
-    order = Window.partitionBy("bucket").orderBy(F.desc("weight"), "node")
+def _with_centre(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of every member and its bucket's heaviest one, as far as their sizes allow a link."""
+    # partial maxima make a bucket of any size cheap
+    centre = members.groupBy("bucket").agg(F.max(F.struct("weight", -F.col("node"), "node", "n")).alias("c"))
     return (
-        grouped.where("not done")
-        .select("bucket", "node", "label", "n", "weight")
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= number)
-        .select("bucket", F.struct("node", "label", "n").alias("c"))
-    )
-
-
-def _compared(
-    waiting: DataFrame, labels: DataFrame, elements: DataFrame, centres: int, percent: int
-) -> tuple[DataFrame, DataFrame]:
-    """One turn: the labels after it, and the members of buckets that are still open."""
-    grouped = stored(waiting.join(labels, "node"))
-    chosen = stored(_centres(grouped, centres))
-    pairs = (
-        grouped.where("not done")
-        .join(chosen, "bucket")
-        .where("node != c.node and label != c.label")
+        members.join(centre, "bucket")
+        .where("node != c.node")
         .where(100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n"))
         .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"))
         .distinct()
     )
-    found = stored(_verified(pairs, elements, percent))
-    if not found.isEmpty():
-        left = labels.select(F.col("node").alias("a"), F.col("label").alias("x"))
-        right = labels.select(F.col("node").alias("b"), F.col("label").alias("y"))
-        merged = components(
-            found.join(left, "a").join(right, "b").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-        ).select(F.col("node").alias("label"), F.col("label").alias("end"))
-        labels = stored(labels.join(merged, "label", "left").select("node", F.coalesce("end", "label").alias("label")))
-    was_centre = chosen.select("bucket", F.col("c.node").alias("node"), F.lit(True).alias("now"))
-    after = grouped.drop("label").join(was_centre, ["bucket", "node"], "left").select(
-        "bucket", "node", "n", "weight", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done")
-    )
-    spread = after.where("not done").join(labels, "node").groupBy("bucket").agg(
-        F.min("label").alias("low"), F.max("label").alias("high")
+
+
+def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after links between nodes have joined their groups."""
+    left = labels.select(F.col("node").alias("a"), F.col("label").alias("x"))
+    right = labels.select(F.col("node").alias("b"), F.col("label").alias("y"))
+    joined = links.join(left, "a").join(right, "b").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    merged = components(joined).select(F.col("node").alias("label"), F.col("label").alias("end"))
+    return stored(labels.join(merged, "label", "left").select("node", F.coalesce("end", "label").alias("label")))
+
+
+def _open_blocks(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets with several labels, in blocks that are compared as one group.
+
+    Nodes outside of a bucket's largest group ask, all nodes answer.  Both fall into blocks of
+    bounded shingle numbers, and a group is one block that asks with one that answers, so
+    every pair of two groups meets, and none inside the largest group is looked at.
+    """
+    grouped = members.select("bucket", "node", "n").join(labels, "node")
+    per_label = grouped.groupBy("bucket", "label").agg(F.count("*").alias("members"), F.sum("n").alias("n"))
+    largest = F.max(F.struct("members", -F.col("label"), "label", "n"))
+    shape = per_label.groupBy("bucket").agg(F.count("*").alias("labels"), F.sum("n").alias("all"), largest.alias("most")).where("labels > 1")
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK_SHINGLES)).cast("int")
+    shape = shape.select(
+        "bucket", F.col("most.label").alias("main"), blocks(F.col("all")).alias("answering"), blocks(F.col("all") - F.col("most.n")).alias("asking")
     )
-    return labels, stored(after.join(spread.where("low < high").select("bucket"), "bucket", "left_semi"))
+    rows = grouped.join(shape, "bucket")
+    all_of = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    own = lambda n, seed: F.array(F.pmod(F.xxhash64(F.lit(seed), "node"), F.col(n)).cast("int"))
+    keep = ["bucket", "node", "label"]
+    asks = rows.where("label != main").select(
+        *keep, F.lit(True).alias("asks"), F.explode(own("asking", 1)).alias("q"), all_of("answering").alias("others")
+    ).select(*keep, "asks", "q", F.explode("others").alias("r"))
+    answers = rows.select(
+        *keep, F.lit(False).alias("asks"), F.explode(own("answering", 2)).alias("r"), all_of("asking").alias("others")
+    ).select(*keep, "asks", F.explode("others").alias("q"), "r")
+    return asks.unionByName(answers)
+
+
+def local_links(nodes: list[int], labels: list[int], asks: list[bool], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between different groups of a block that its asking nodes find: a local union-find.
+
+    An inverted index counts the shingles that an asking node shares with all others; a link is
+    emitted only if it joins two groups, so there are fewer links than nodes.
+    """
+    parent = {label: label for label in labels}
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    sizes = np.array([len(s) for s in sets])
+    flat = np.concatenate([np.zeros(0, np.uint64), *sets])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], np.repeat(np.arange(len(sets)), sizes)[order]
+    links = []
+    for k in np.flatnonzero(asks):
+        low, high = np.searchsorted(flat, sets[k], "left"), np.searchsorted(flat, sets[k], "right")
+        runs = high - low
+        at = np.repeat(low - np.concatenate([[0], runs.cumsum()[:-1]]), runs) + np.arange(runs.sum())
+        common = np.bincount(owner[at], minlength=len(sets))
+        for other in np.flatnonzero(100 * common >= percent * (sizes + sizes[k] - common)):
+            x, y = root(labels[k]), root(labels[other])
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                links.append((nodes[k], nodes[other]))
+    return links
+
+
+def _found_in_blocks(blocks: DataFrame, elements: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) from every group of an asking and an answering block."""
+
+    def find(group: pa.Table) -> pa.Table:
+        sets = [np.frombuffer(e, np.uint64) for e in group["elements"].to_pylist()]
+        columns = [group[c].to_pylist() for c in ("node", "label", "asks")]
+        links = local_links(*columns, sets, percent)
+        return pa.table({"a": pa.array([min(p) for p in links], pa.int64()), "b": pa.array([max(p) for p in links], pa.int64())})
+
+    return blocks.join(elements, "node").groupBy("bucket", "q", "r").applyInArrow(find, "a bigint, b bigint").distinct()
 
 
 def _links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """``node`` and ``label`` of the linked nodes among node, set_key, n and bands.
 
-    A first turn compares one centre of every bucket.  Then, turn by turn, the heaviest centre, the next 2, 4, 8 and so on of every open bucket of single bands are
-    compared with the members of other groups.  A bucket is closed once the members that were
-    never a centre belong to one group.
+    First every member of a bucket is compared with the bucket's heaviest one, which joins near
+    all of a group of copies.  Then the members of buckets that still hold several groups are
+    compared across these groups, block by block.  Each step is followed by one contraction.
     """
-    waiting = stored(_buckets(nodes).withColumn("done", F.lit(False)))
-    involved = stored(nodes.join(waiting.select("node").distinct(), "node", "left_semi"))
+    members = stored(_buckets(nodes))
+    involved = stored(nodes.join(members.select("node").distinct(), "node", "left_semi"))
     elements = stored(_elements(involved.select("node", "set_key"), docs, size))
     labels = involved.select("node", F.col("node").alias("label"))
-    first = _buckets(involved).withColumn("done", F.lit(False))
-    labels, _ = _compared(first, labels, elements, 1, percent)
-    centres = 1
-    while not waiting.isEmpty():
-        release(docs.sparkSession)
-        labels, waiting = _compared(waiting, labels, elements, centres, percent)
-        centres *= 2
-    return labels
+    labels = _relabelled(labels, stored(_verified(_with_centre(members, percent), elements, percent)))
+    return _relabelled(labels, stored(_found_in_blocks(_open_blocks(members, labels), elements, percent)))
 
 
 def near_duplicates(
