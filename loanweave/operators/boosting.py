@@ -17,7 +17,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.ml import Transformer
@@ -380,19 +379,37 @@ class BoostedTrees(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         held = self.fitted
-        trees = [(list(zip(t["feature"], t["threshold"], t["left"], t["right"])), np.array(t["value"])) for t in held["trees"]]
-
-        @F.pandas_udf("double")
-        def margin(x):
-            rows = np.stack(x.to_numpy()) if len(x) else np.zeros((0, held["width"]))
-            total = np.full(len(rows), held["base"])
-            for nodes, values in trees:
-                total += values[route(nodes, rows)]
-            return pd.Series(total)
-
+        # all trees in one table of nodes; children are places in it
+        table: dict[str, list] = {"feature": [], "threshold": [], "left": [], "right": [], "value": []}
+        roots, deepest = [], 0
+        for tree in held["trees"]:
+            first = len(table["feature"])
+            roots.append(first)
+            depths = [0] * len(tree["feature"])
+            for k, f in enumerate(tree["feature"]):  # parents come before their children
+                for side in ("left", "right"):
+                    if f >= 0:
+                        depths[tree[side][k]] = depths[k] + 1
+                    table[side].append(tree[side][k] + first)
+                table["feature"].append(f)
+                table["threshold"].append(float(tree["threshold"][k]))
+                table["value"].append(float(tree["value"][k]))
+            deepest = max(deepest, *depths)
+        nodes = {n: F.lit(v) for n, v in table.items()}
+        x = F.col("_x")
+
+        def step(at, _):
+            feature = F.get(nodes["feature"], at)
+            left = F.get(x, feature) <= F.get(nodes["threshold"], at)
+            return F.when(feature < 0, at).when(left, F.get(nodes["left"], at)).otherwise(F.get(nodes["right"], at))
+
+        levels = F.sequence(F.lit(1), F.lit(max(1, deepest)))
+        margin = F.lit(float(held["base"]))
+        if roots:
+            margin = F.aggregate(F.lit(roots), margin, lambda total, root: total + F.get(nodes["value"], F.aggregate(levels, root, step)))
         p = 1 / (1 + F.exp(-F.col("_margin")))
         probability, prediction = self.getOrDefault(self.probabilityCol), self.getOrDefault(self.predictionCol)
-        out = df.withColumn("_margin", margin(vector_to_array(self.getOrDefault(self.featuresCol))))
+        out = df.withColumn("_x", vector_to_array(self.getOrDefault(self.featuresCol))).withColumn("_margin", margin)
         return out.withColumns({
             probability: array_to_vector(F.array(1 - p, p)), prediction: F.when(p >= 0.5, 1.0).otherwise(0.0),
-        }).drop("_margin")
+        }).drop("_margin", "_x")
