@@ -32,6 +32,14 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def emit(schema: StructType, columns: list[list | pa.Array]) -> pa.RecordBatch:
     """A batch of the Spark schema from lists or Arrow arrays."""
     arrays = [

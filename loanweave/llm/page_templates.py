@@ -23,7 +23,7 @@ from collections import Counter
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loanweave.llm.common import annotate, as_texts, table
+from loanweave.llm.common import annotate, as_texts, stored, table, unused
 
 #: A class is part of the template if it has so many tokens and is on so many pages, at least
 #: this share of the host's pages that have the elements of its tokens.
@@ -31,6 +31,9 @@ CLASS_TOKENS, CLASS_PAGES, CLASS_SHARE = 2, 5, 0.6
 #: Constant text counts as template only if its neighbours differ from page to page: this
 #: share of a 64-bit sketch of them must be filled (what copies of an article share isn't).
 NEIGHBOURS = 0.5
+#: Templates of all hosts together are sent to every task up to this size; larger ones are
+#: joined by host and salt, so that no host's pages meet in one task.
+TEMPLATE_BYTES, SALTS = 32 << 20, 64
 
 # Fixed values of HTML: elements without content, with raw text, with inline content, and
 # elements that an opening tag of the same kind closes.
@@ -227,19 +230,24 @@ def constant_blocks(pages: DataFrame, id_col: str, url_col: str, html_col: str)
 
     parsed = annotate(pages.select(id_col, url_col, html_col), [url_col, html_col], f"host string, tokens {_TOKENS}", start)
     each = parsed.select("host", F.col(id_col).alias("page"), F.explode("tokens").alias("t"))
-    # the digest of an occurrence vector: exclusive or over hashes of (page, count)
+    # the digest of an occurrence vector: sums of both halves of hashes of (page, count), so
+    # that a page stored twice counts twice in every vector
+    digest = F.xxhash64("page", "t.n")
     vectors = each.groupBy("host", "t.token").agg(
         F.count("*").alias("pages"),
         F.sum("t.n").alias("total"),
-        F.bit_xor(F.xxhash64("page", "t.n")).alias("vector"),
+        F.sum(digest.bitwiseAND(0xFFFFFFFF)).alias("low"),
+        F.sum(F.shiftright(digest, 32)).alias("high"),
         F.sum("t.place").alias("places"),
         F.max("t.text").alias("text"),
         F.max("t.around").alias("around"),
         F.bit_or(F.expr("shiftleft(1L, t.before)")).alias("before"),
         F.bit_or(F.expr("shiftleft(1L, t.after)")).alias("after"),
+        F.bit_or(F.expr("shiftleft(1L, cast(xxhash64(page) & 63 as int))")).alias("met"),
     )
-    hosts = parsed.groupBy("host").agg(F.count("*").alias("host_pages"))
-    repeated = vectors.where(F.col("pages") >= CLASS_PAGES)
+    hosts = hosted(pages.select(url_col), url_col, "host").groupBy("host").agg(F.count("*").alias("host_pages"))
+    # read twice, so written once: the pages are parsed for it only here
+    repeated = stored(vectors.where(F.col("pages") >= CLASS_PAGES))
     # a text's layout: the pages of the host that have its element, or all if it lies in none
     layouts = repeated.where(~F.col("text")).select("host", F.col("token").alias("around"), F.col("pages").alias("layout_pages"))
     frequent = (
@@ -247,9 +255,10 @@ def constant_blocks(pages: DataFrame, id_col: str, url_col: str, html_col: str)
         .join(layouts, ["host", "around"], "left")
         .where(~F.col("text") | (F.col("pages") >= CLASS_SHARE * F.coalesce("layout_pages", "host_pages")))
     )
-    possible = F.least(F.lit(48.0), F.col("pages"))
+    # different pages, in a sketch like that of the neighbours
+    possible = F.least(F.lit(48), F.bit_count("met"))
     varied = F.greatest(F.bit_count("before"), F.bit_count("after")) >= NEIGHBOURS * possible
-    classes = frequent.groupBy("host", "vector", "pages", "total").agg(
+    classes = frequent.groupBy("host", "low", "high", "pages", "total").agg(
         F.count("*").alias("size"),
         F.array_sort(
             F.collect_list(F.when(F.col("text") & varied, F.struct((F.col("places") / F.col("pages")).alias("place"), "token")))
@@ -278,19 +287,46 @@ def main_blocks(page: Page, classes: list[list[int]]) -> list[str]:
     return [text for n, text in numbered if n not in dropped]
 
 
-def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def hosted(pages: DataFrame, url_col: str, name: str) -> DataFrame:
+    """Append the host of each page's URL."""
+    return annotate(pages, [url_col], f"`{name}` string", lambda: lambda urls: [[host(u) for u in urls.to_pylist()]])
+
+
+def with_templates(
+    pages: DataFrame, templates: DataFrame, host_col: str, spread: tuple[str, ...], limit: int = TEMPLATE_BYTES
+) -> DataFrame:
+    """Pages with their host's row of ``templates``, which are broadcast within ``limit`` bytes.
+
+    Beyond it, templates are repeated once per salt and pages take the salt of their
+    ``spread`` columns, so that a hot host is shared by many tasks.
+    """
+    tokens = F.aggregate("constants", F.lit(0), lambda n, c: n + F.size(c))
+    known = templates.agg((F.count("*") * 128 + F.sum(tokens) * 8).alias("bytes")).first()["bytes"] or 0
+    named = templates.select(F.col("host").alias(host_col), F.col("constants").alias(unused(pages, "constants")))
+    if known <= limit:
+        return pages.join(F.broadcast(named), host_col, "left")
+    salt = unused(pages, "salt")
+    salted = pages.withColumn(salt, F.pmod(F.xxhash64(*spread), F.lit(SALTS)))
+    every = named.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    return salted.join(every, [host_col, salt], "left").drop(salt)
+
+
+def extract_main_text(
+    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", limit: int = TEMPLATE_BYTES
+) -> DataFrame:
     """Append ``main_text``: blocks of the article in page order, joined by two line feeds.
 
     White space inside a block becomes one space and character references are decoded.  A
     null or empty page has an empty text.  Pages without URL share the empty host.  On pages
     without an article or main element, all blocks outside of menus, notices and the like
-    count.
+    count.  Repeated rows count as often as they are stored, an empty table gives an empty
+    one, long pages are read whole, and other columns stay (``main_text`` is replaced).
     """
-    named = annotate(
-        pages, [url_col], "_host string", lambda: lambda urls: [[host(u) for u in urls.to_pylist()]]
-    )
-    templates = constant_blocks(pages, id_col, url_col, html_col).withColumnRenamed("host", "_host")
-    joined = named.join(templates.withColumnRenamed("constants", "_constants"), "_host", "left")
+    name = unused(pages, "host")
+    named = hosted(pages, url_col, name)
+    templates = stored(constant_blocks(pages, id_col, url_col, html_col))
+    joined = with_templates(named, templates, name, (id_col, url_col), limit)
+    constants = unused(named, "constants")
 
     def start():
         def work(sources, constants):
@@ -301,7 +337,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
 
         return work
 
-    return annotate(joined, [html_col, "_constants"], "main_text string", start).drop("_host", "_constants")
+    return annotate(joined, [html_col, constants], "main_text string", start).drop(name, constants)
 
 
 def digests(spark: SparkSession, directory: str) -> DataFrame:

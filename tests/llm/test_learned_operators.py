@@ -169,6 +169,16 @@ def test_layouts_of_one_host_have_their_own_constants(spark):
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     for r in page_templates.extract_main_text(pages).collect():
         assert r.main_text == f"Words {r.page_id} of {'uvw'[r.page_id % 3]}.\n\nMore {r.page_id}."
+    # pages stored twice, clashing names, and templates joined by salt change nothing
+    twice = pages.unionByName(pages).withColumns({"host": F.lit("h"), "_host": F.lit(1), "constants": F.lit(2), "salt": F.lit(3)})
+    for limit in (page_templates.TEMPLATE_BYTES, 0):
+        out = page_templates.extract_main_text(twice, limit=limit)
+        assert out.columns == [*twice.columns, "main_text"]
+        found = out.collect()
+        assert len(found) == 72
+        for r in found:
+            assert (r.host, r["_host"], r.constants, r.salt) == ("h", 1, 2, 3)
+            assert r.main_text == f"Words {r.page_id} of {'uvw'[r.page_id % 3]}.\n\nMore {r.page_id}."
 
 
 def test_names_never_empty_a_page():
