@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from loanweave.columns import RISK_BANDS
 from loanweave.functions.expressions import share
 from loanweave.operators.ranking import (
-    BUCKET_ROWS, bucket_edges, hash_rank, running_totals, score_histogram,
+    BUCKET_ROWS, hash_rank, running_totals, score_histogram,
 )
+from loanweave.session import checkpointed
 
 LOG_LOSS_EPSILON = 2.220446049250313e-16
 SUMMARY = (
@@ -59,15 +60,19 @@ def threshold_metrics() -> dict[str, Column]:
     }
 
 
-def probability_metrics() -> dict[str, Column]:
+def row_losses() -> dict[str, Column]:
     p, y = F.col("y_proba"), F.col("y_true")
     clipped = F.greatest(F.lit(LOG_LOSS_EPSILON), F.least(F.lit(1 - LOG_LOSS_EPSILON), p))
     return {
-        "brier_score": F.avg(F.pow(p - y, F.lit(2))),
-        "log_loss": F.avg(-F.when(y == 1, F.ln(clipped)).otherwise(F.ln(1 - clipped))),
+        "brier_score": F.pow(p - y, F.lit(2)),
+        "log_loss": -F.when(y == 1, F.ln(clipped)).otherwise(F.ln(1 - clipped)),
     }
 
 
+def probability_metrics() -> dict[str, Column]:
+    return {n: F.avg(c) for n, c in row_losses().items()}
+
+
 def row_metrics(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Confusion cells, threshold and probability metrics from one aggregation."""
     aggregated = df.groupBy(*by).agg(
@@ -77,19 +82,49 @@ def row_metrics(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return aggregated.withColumns(threshold_metrics())
 
 
+def _parts() -> dict[str, Column]:
+    """Sums and counts per score that ``row_metrics`` can be put together from."""
+    return {
+        **{n: _matches(*cell) for n, cell in CONFUSION.items()},
+        **{f"{n}_sum": F.sum(c) for n, c in row_losses().items()},
+        **{f"{n}_rows": F.count(c) for n, c in row_losses().items()},
+    }
+
+
+def combined_metrics(histogram: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``row_metrics`` from a detailed histogram."""
+    added = histogram.groupBy(*by).agg(
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in CONFUSION],
+        *[
+            (F.sum(f"{n}_sum") / F.nullif(F.sum(f"{n}_rows"), F.lit(0))).alias(n)
+            for n in row_losses()
+        ],
+    )
+    return added.withColumns(threshold_metrics())
+
+
 # ------------------------------------------------------------------ ranking metrics
 
 
+def written_histogram(df: DataFrame, by: Sequence[str] = (), detailed: bool = False) -> DataFrame:
+    """The score histogram, written once: every metric of the ranking reads it, not the rows.
+
+    ``detailed`` adds what row-level metrics need, so that they come from the same pass.
+    """
+    return checkpointed(score_histogram(df, by=by, extra=_parts() if detailed else {}))
+
+
 def ranked_scores(
-    df: DataFrame, by: Sequence[str] = (), bucket_rows: int = BUCKET_ROWS,
-    sums: Sequence[str] = ("pos", "neg"),
+    df: DataFrame | None, by: Sequence[str] = (), bucket_rows: int = BUCKET_ROWS,
+    sums: Sequence[str] = ("pos", "neg"), histogram: DataFrame | None = None,
 ) -> DataFrame:
     """Score histogram with running counts from the highest score down.
 
-    ``df`` is read twice (bucket edges, histogram): write costly scores to a table first.
+    ``df`` is read once, and not at all if its written ``histogram`` is given.
     """
-    edges = bucket_edges(df, "y_proba", bucket_rows)
-    return running_totals(score_histogram(df, by=by), "y_proba", sums, by, edges=edges)
+    if histogram is None:
+        histogram = written_histogram(df, by)
+    return running_totals(histogram, "y_proba", sums, by, bucket_rows=bucket_rows)
 
 
 def _curve_columns() -> dict[str, Column]:
@@ -188,10 +223,18 @@ def optimal_thresholds(ranked: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 # ------------------------------------------------------------------ composites
 
 
-def evaluate(df: DataFrame, by: Sequence[str] = (), optimal: bool = False, **options) -> DataFrame:
-    """All metrics, one row (or one per ``by`` group)."""
-    rows = row_metrics(df if "y_pred" in df.columns else add_prediction(df), by)
-    ranked = ranked_scores(df, by, **options)
+def evaluate(
+    df: DataFrame | None, by: Sequence[str] = (), optimal: bool = False,
+    histogram: DataFrame | None = None, **options,
+) -> DataFrame:
+    """All metrics, one row (or one per ``by`` group), from one pass over ``df``.
+
+    A detailed ``histogram`` of the same rows takes the place of ``df``.
+    """
+    if histogram is None:
+        histogram = written_histogram(df if "y_pred" in df.columns else add_prediction(df), by, True)
+    rows = combined_metrics(histogram, by)
+    ranked = ranked_scores(None, by, histogram=histogram, **options)
     best = {"_f1": _best(1.0), "_f2": _best(2.0)} if optimal else {}
     curve = ranked.groupBy(*by).agg(
         *[c.alias(n) for n, c in {**ranking_metrics(), **best}.items()]
@@ -271,7 +314,8 @@ def classification_report(confusion: DataFrame) -> DataFrame:
 
 
 def decile_table(
-    df: DataFrame, deciles: int = 10, id_column: str = "id", seed: int = 42, **options
+    df: DataFrame, deciles: int = 10, id_column: str = "id", seed: int = 42,
+    histogram: DataFrame | None = None, **options,
 ) -> DataFrame:
     """Lift and gain per decile of the score, highest scores first.
 
@@ -279,9 +323,10 @@ def decile_table(
     rank 0.  Rows with equal scores are put in md5 order of their id.
 
     Scores that fit one decile are summed straight from the histogram.  At most ``k - 1``
-    scores can straddle a boundary; only their rows are ranked one by one.
+    scores can straddle a boundary; only their rows are read again, written and ranked one by
+    one, so ``df`` is read twice at most.
     """
-    ranked = ranked_scores(df, sums=["n"], **options)
+    ranked = ranked_scores(df, sums=["n"], histogram=histogram, **options)
 
     def decile(rank: Column) -> Column:
         steps = F.ceil(rank.cast("double") * deciles / F.greatest(F.lit(1), F.col("all_n") - 1))
@@ -298,7 +343,8 @@ def decile_table(
         "y_proba", "first", "all_n"
     )
     # Bounded: each of the k-1 boundaries lies inside at most one score.
-    tied = df.join(F.broadcast(straddling), "y_proba")
+    needed = df.select(id_column, "y_proba", "y_true")
+    tied = checkpointed(needed.join(F.broadcast(straddling), "y_proba"))
     placed = hash_rank(tied, id_column, ["y_proba"], seed, "_place").select(
         decile(F.col("first") + F.col("_place") - 1).alias("decile"),
         F.when(F.col("y_true") == 1, 1).otherwise(0).cast("bigint").alias("pos"),
@@ -410,11 +456,12 @@ def evaluation_report(df: DataFrame, **options) -> dict[str, DataFrame]:
     """Every table of the evaluation report; the caller writes or shows them."""
     from loanweave.operators.scoring import histogram_by_class, score_table
 
-    ranked = ranked_scores(df, **options)
+    histogram = written_histogram(df if "y_pred" in df.columns else add_prediction(df), detailed=True)
+    ranked = ranked_scores(None, histogram=histogram, **options)
     scored = score_table(df, probability="y_proba")
     return {
-        "metrics": evaluate(df, optimal=True, **options),
-        "deciles": decile_table(df, **options),
+        "metrics": evaluate(None, optimal=True, histogram=histogram, **options),
+        "deciles": decile_table(df, histogram=histogram, **options),
         "risk_bands": risk_bands(df),
         "curves": curve_points(ranked),
         "calibration": calibration_curve(df),

@@ -8,7 +8,7 @@ ordinary window finishes the work inside each bucket.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -19,16 +19,22 @@ BUCKET_ROWS = 1_000_000
 EDGE_SAMPLE_ROWS = 100_000
 EDGE_SAMPLE_PER_BUCKET = 200
 SLICES = 64
+HASH_BITS = 7
 
 
 def score_histogram(
-    df: DataFrame, score: str = "y_proba", label: str = "y_true", by: Sequence[str] = ()
+    df: DataFrame, score: str = "y_proba", label: str = "y_true", by: Sequence[str] = (),
+    extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """One row per distinct score: positives, negatives, rows.  Ties collapse here."""
+    """One row per distinct score: positives, negatives, rows, and ``extra`` aggregates.
+
+    Ties collapse here.
+    """
     positive = F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("bigint")
+    more = [c.alias(n) for n, c in (extra or {}).items()]
     return (
         df.groupBy(*by, score)
-        .agg(positive.alias("pos"), F.count("*").alias("n"))
+        .agg(positive.alias("pos"), F.count("*").alias("n"), *more)
         .withColumn("neg", F.col("n") - F.col("pos"))
     )
 
@@ -172,6 +178,67 @@ def smallest_hash_rows(
     )
 
 
+def rounded_up(hashed: Column, bits: int = HASH_BITS) -> Column:
+    """A non-negative hash with every bit after its first ``bits`` significant ones set.
+
+    At most about 1,700 values for 32-bit hashes, each within two per cent of its hashes, so
+    a histogram of them is small at any size and fine where hashes are small.
+    """
+    spare = F.greatest(F.length(F.bin(hashed)) - bits, F.lit(0))
+    step = F.call_function("shiftleft", F.lit(1).cast("bigint"), spare)
+    return hashed.bitwiseOR(step - 1)
+
+
+def hash_samples(
+    df: DataFrame, samples: Sequence[tuple[Column, int, int]], id_column: str, name: str = "sample"
+) -> DataFrame:
+    """Rows that are among the first ``n`` in hash order of any sample, with that sample's number.
+
+    ``samples`` holds (condition, n, seed) in order of priority; a row of several samples
+    keeps the first.  Ids must be unique.  The input is read twice whatever the number of
+    samples: a histogram of rounded hashes tells up to which hash each sample reaches (one
+    row per sample comes back), then one filter takes the candidates, and only those, about
+    as many as are wanted, are shuffled and ranked.
+    """
+    hashes = {seed: stable_hash(id_column, seed) for _, _, seed in samples}
+    places = [
+        F.when(condition, F.struct(F.lit(k).alias("k"), rounded_up(hashes[seed]).alias("reach")))
+        for k, (condition, _, seed) in enumerate(samples)
+    ]
+    sizes = (
+        df.select(F.inline(F.array_compact(F.array(*places))))
+        .groupBy("k", "reach").agg(F.count("*").alias("n"))
+        .withColumn("upto", F.sum("n").over(Window.partitionBy("k").orderBy("reach")))
+    )
+    wanted = F.element_at(F.array(*[F.lit(n) for _, n, _ in samples]), F.col("k") + 1)
+    # the first bin that fills the sample, or the last one there is
+    reached = sizes.groupBy("k").agg(
+        F.coalesce(F.min(F.when(F.col("upto") >= wanted, F.col("reach"))), F.max("reach")).alias("reach")
+    )
+    reach = {r["k"]: r["reach"] for r in reached.collect()}
+    taken = [
+        F.when(
+            condition & (hashes[seed] <= reach.get(k, -1)),
+            F.struct(F.lit(k).alias("k"), F.lit(n).alias("n"), hashes[seed].alias("hash")),
+        )
+        for k, (condition, n, seed) in enumerate(samples)
+    ]
+    candidates = (
+        df.withColumn("_in", F.array_compact(F.array(*taken)))
+        .filter(F.size("_in") > 0)
+        .withColumn("_in", F.explode("_in"))
+    )
+    order = Window.partitionBy("_in.k").orderBy("_in.hash", id_column)
+    first = Window.partitionBy(id_column).orderBy("_in.k")
+    return (
+        candidates.withColumn("_rank", F.row_number().over(order))
+        .filter(F.col("_rank") <= F.col("_in.n"))
+        .withColumn("_rank", F.row_number().over(first))
+        .filter(F.col("_rank") == 1)
+        .select(*df.columns, F.col("_in.k").alias(name))
+    )
+
+
 def exact_percentiles(
     histogram: DataFrame,
     value: str,

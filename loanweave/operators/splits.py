@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from loanweave.columns import KEY, TARGET
 from loanweave.functions import expressions as x
-from loanweave.operators.ranking import hash_rank, smallest_hash_rows
+from loanweave.operators.ranking import hash_rank, hash_samples
 
 TRAIN_YEARS = (1999, 2008)
 TEST_YEARS = (2009, 2012)
@@ -155,23 +155,16 @@ def validation_loans(
 ) -> DataFrame:
     """Fixed-size samples by outcome plus a random one; a loan keeps its first tag.
 
-    ``loans`` has one row per loan, so priority can be decided by the tag alone.
+    ``loans`` has one row per loan.  It is read twice, so write a costly one to a table first.
     """
-    bad = smallest_hash_rows(loans.filter(F.col(outcome) == 1), defaulted, key, seed=seed)
-    good = smallest_hash_rows(loans.filter(F.col(outcome) == 0), non_defaulted, key, seed=seed)
-    some = smallest_hash_rows(loans, anyone, key, seed=seed + 1)
-    tagged = (
-        bad.select(key, F.lit(1).alias("_priority"))
-        .unionByName(good.select(key, F.lit(2).alias("_priority")))
-        .unionByName(some.select(key, F.lit(3).alias("_priority")))
-        .groupBy(key)
-        .agg(F.min("_priority").alias("_priority"))
-    )
+    samples = [
+        (F.col(outcome) == 1, defaulted, seed),
+        (F.col(outcome) == 0, non_defaulted, seed),
+        (F.lit(True), anyone, seed + 1),
+    ]
     tags = F.array(F.lit("defaulted"), F.lit("non_defaulted"), F.lit("random"))
-    # At most this many rows: the sample sizes are part of the definition.
-    small = defaulted + non_defaulted + anyone <= BROADCAST_IDS
     return (
-        loans.join(F.broadcast(tagged) if small else tagged, key)
-        .withColumn("sample_type", F.element_at(tags, F.col("_priority")))
-        .drop("_priority")
+        hash_samples(loans, samples, key, "_sample")
+        .withColumn("sample_type", F.element_at(tags, F.col("_sample") + 1))
+        .drop("_sample")
     )

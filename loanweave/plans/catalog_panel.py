@@ -8,7 +8,7 @@ from loanweave import columns as c
 from loanweave.columns import KEY, TIME
 from loanweave.functions import expressions as x
 from loanweave.functions.history import History
-from loanweave.operators import cleaning, features, incremental, loans, splits, target
+from loanweave.operators import cleaning, features, incremental, loans, ranking, splits, target
 from loanweave.plans.catalog_cleaning import LOANS_CLEAN_SQL, PANEL_CLEAN_SQL
 from loanweave.plans.registry import query, r6
 from loanweave.session import checkpointed
@@ -144,7 +144,7 @@ def _(t):
     uses="loans panel",
 )
 def _(t):
-    sample = splits.smallest_hash_rows(t.loans().select(KEY), 300, KEY)
+    sample = ranking.smallest_hash_rows(t.loans().select(KEY), 300, KEY)
     return splits.restrict_to_sample(t.panel(), sample, 300).select(KEY, TIME)
 
 
