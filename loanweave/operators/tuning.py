@@ -1,10 +1,20 @@
-"""Random hyper-parameter search with cross-validation on the cluster."""
+"""Hyper-parameter search with cross-validation on the cluster.
+
+The search is sequential: after some random trials, the values of good and of bad trials give
+two densities per parameter, and the next trial is the drawn candidate whose ratio of both is
+highest (a tree-structured Parzen estimator over independent parameters).  Trials come in
+batches that depend on earlier batches only, so they may run side by side and the result does
+not depend on which one ends first.
+"""
 
 from __future__ import annotations
 
 import math
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import partial
+from statistics import median
 from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
@@ -12,8 +22,13 @@ from pyspark.sql import DataFrame, functions as F
 from loanweave.operators.learning import FeatureSet, Prepared, fit_prepared, predict_proba, prepare
 from loanweave.operators.metrics import ranked_scores, ranking_summary
 from loanweave.operators.preparation import LABEL
+from loanweave.operators.side_by_side import side_by_side
 from loanweave.session import checkpointed
 
+STARTUP_TRIALS, BATCH, CANDIDATES, GOOD_SHARE = 10, 5, 24, 0.25
+#: A trial stops after its first fold if that is below the median of so many earlier ones.
+STOP_AFTER = 5
+
 # The search spaces.  ("int", low, high, step), ("float", low, high),
 # ("log", low, high) or ("choice", values).  
 SPACES: dict[str, dict[str, tuple]] = {
@@ -71,6 +86,105 @@ def draw_trials(model: str, trials: int, seed: int = 42, space: Mapping[str, tup
     return [{n: _draw(rng, spec) for n, spec in chosen.items()} for _ in range(trials)]
 
 
+@dataclass(frozen=True)
+class Trial:
+    parameters: dict[str, Any]
+    score: float
+    first: float
+    stopped: bool = False
+
+
+class Density:
+    """Density of one parameter over trials, with one trial's worth of the uniform prior."""
+
+    def __init__(self, spec: tuple, values: Sequence[Any]):
+        self.kind, *self.spec = spec
+        if self.kind == "choice":
+            options = list(self.spec[0])
+            counts = [1 / len(options) + sum(v == o for v in values) for o in options]
+            self.options = {k: (o, c / sum(counts)) for k, (o, c) in enumerate(zip(options, counts))}
+            return
+        self.low, self.high = self._inner(self.spec[0]), self._inner(self.spec[1])
+        self.range = (self.high - self.low) or 1.0
+        self.centres = sorted(self._inner(v) for v in values)
+        ends = [self.low, *self.centres, self.high]
+        # a point is as wide as its farther neighbour is away, within bounds
+        least = self.range / min(100, 1 + len(self.centres))
+        self.widths = [
+            min(self.range, max(least, ends[k + 1] - ends[k], ends[k + 2] - ends[k + 1]))
+            for k in range(len(self.centres))
+        ]
+
+    def _inner(self, value: float) -> float:
+        return math.log(value) if self.kind == "log" else float(value)
+
+    def draw(self, rng: random.Random) -> Any:
+        if self.kind == "choice":
+            pairs = list(self.options.values())
+            return rng.choices([o for o, _ in pairs], [w for _, w in pairs])[0]
+        k = rng.randrange(len(self.centres) + 1)
+        if k == len(self.centres):
+            return _draw(rng, (self.kind, *self.spec))
+        inner = rng.gauss(self.centres[k], self.widths[k])
+        while not self.low <= inner <= self.high:
+            inner = rng.gauss(self.centres[k], self.widths[k])
+        if self.kind == "int":
+            low, high, step = self.spec
+            return min(low + (high - low) // step * step, low + round((inner - low) / step) * step)
+        return math.exp(inner) if self.kind == "log" else inner
+
+    def log(self, value: Any) -> float:
+        if self.kind == "choice":
+            return math.log(next(w for o, w in self.options.values() if o == value))
+        x = self._inner(value)
+
+        def normal(z: float) -> float:
+            return 0.5 * (1 + math.erf(z / math.sqrt(2)))
+
+        total = 1 / self.range
+        for c, w in zip(self.centres, self.widths):
+            inside = normal((self.high - c) / w) - normal((self.low - c) / w)
+            total += math.exp(-0.5 * ((x - c) / w) ** 2) / (w * math.sqrt(2 * math.pi) * inside)
+        return math.log(total / (1 + len(self.centres)))
+
+
+def propose(
+    space: Mapping[str, tuple], trials: Sequence[Trial], rng: random.Random, candidates: int = CANDIDATES
+) -> dict[str, Any]:
+    """The drawn candidate that is likeliest under good trials against bad ones."""
+    ranked = sorted(trials, key=lambda t: (t.stopped, -t.score))
+    good = ranked[: max(2, math.ceil(GOOD_SHARE * len(ranked)))]
+    bad = ranked[len(good):]
+    chosen = {}
+    for name, spec in space.items():
+        likely, unlikely = (Density(spec, [t.parameters[name] for t in part]) for part in (good, bad))
+        drawn = [likely.draw(rng) for _ in range(candidates)]
+        chosen[name] = max(drawn, key=lambda v: likely.log(v) - unlikely.log(v))
+    return chosen
+
+
+def optimise(
+    evaluate: Callable[[dict[str, Any], float], Trial],
+    space: Mapping[str, tuple],
+    trials: int,
+    seed: int = 42,
+    startup: int = STARTUP_TRIALS,
+    batch: int = BATCH,
+    run: Callable[[Sequence[Callable[[], Trial]]], list[Trial]] = lambda tasks: [t() for t in tasks],
+) -> list[Trial]:
+    """All trials, in order.  ``evaluate`` gets parameters and the least first-fold score to go on."""
+    rng, done = random.Random(seed), []
+    while len(done) < trials:
+        size = min(batch, trials - len(done))
+        least = median(t.first for t in done) if len(done) >= STOP_AFTER else -math.inf
+        drawn = [
+            propose(space, done, rng) if len(done) >= startup else {n: _draw(rng, s) for n, s in space.items()}
+            for _ in range(size)
+        ]
+        done += run([partial(evaluate, p, least) for p in drawn])
+    return done
+
+
 def prepared_folds(
     model: str, df: DataFrame, features: FeatureSet, folds: int = 3, fold: str = "fold"
 ) -> list[tuple[Prepared, DataFrame]]:
@@ -101,24 +215,52 @@ def cross_validated_auc(
     return by_fold.agg(F.avg("roc_auc")).first()[0]
 
 
-def search(
+def evaluate_trial(
+    model: str, parts: Sequence[tuple[Prepared, DataFrame]], fixed: Mapping[str, Any], seed: int,
+    drawn: Mapping[str, Any], least: float,
+) -> Trial:
+    """Mean AUC over the folds; the first one alone if it is below ``least``."""
+    parameters = {**drawn, **fixed}
+    first = cross_validated_auc(model, parts[:1], parameters, seed)
+    if first < least or len(parts) == 1:
+        return Trial(parameters, first, first, first < least)
+    rest = cross_validated_auc(model, parts[1:], parameters, seed)
+    return Trial(parameters, (first + rest * (len(parts) - 1)) / len(parts), first)
+
+
+def search_trials(
     model: str, df: DataFrame, features: FeatureSet, trials: int = 30, folds: int = 3,
     fold: str = "fold", seed: int = 42, space: Mapping[str, tuple] | None = None,
-    fixed: Mapping[str, Any] | None = None,
-) -> tuple[dict, list[tuple[dict, float]]]:
-    """Best parameters and every trial with its score; each fold's matrix is written once.
+    fixed: Mapping[str, Any] | None = None, workers: int = 1, startup: int = STARTUP_TRIALS, batch: int = BATCH,
+) -> list[Trial]:
+    """Every trial of the sequential search; each fold's matrix is written once for all of them.
 
-    ``fixed`` parameters are the same in every trial.
+    ``fixed`` parameters are the same in every trial.  ``workers`` trials of a batch run side
+    by side; a failed one cancels the others.
     """
+    free = {n: s for n, s in (space or SPACES[model]).items() if n not in (fixed or {})}
     parts = prepared_folds(model, df, features, folds, fold)
-    results = [
-        (p, cross_validated_auc(model, parts, p, seed))
-        for p in ({**drawn, **(fixed or {})} for drawn in draw_trials(model, trials, seed, space))
-    ]
-    best, _ = max(results, key=lambda r: r[1])
-    return best, results
+    return optimise(
+        partial(evaluate_trial, model, parts, dict(fixed or {}), seed), free, trials, seed, startup, batch,
+        lambda tasks: side_by_side(df.sparkSession, tasks, workers, f"search-{model}"),
+    )
+
+
+def best_trial(trials: Sequence[Trial]) -> Trial:
+    """The best of the trials that saw every fold."""
+    return max((t for t in trials if not t.stopped), key=lambda t: t.score)
+
+
+def search(
+    model: str, df: DataFrame, features: FeatureSet, trials: int = 30, folds: int = 3,
+    fold: str = "fold", seed: int = 42, space: Mapping[str, tuple] | None = None,
+    fixed: Mapping[str, Any] | None = None, **options,
+) -> tuple[dict, list[tuple[dict, float]]]:
+    """Best parameters and every trial with its score (a stopped one's is that of its first fold)."""
+    found = search_trials(model, df, features, trials, folds, fold, seed, space, fixed, **options)
+    return best_trial(found).parameters, [(t.parameters, t.score) for t in found]
 
 
-def trials_table(spark, results: Sequence[tuple[dict, float]]) -> DataFrame:
-    rows = [(i, str(p), float(score)) for i, (p, score) in enumerate(results)]
-    return spark.createDataFrame(rows, "trial int, parameters string, roc_auc double")
+def trials_table(spark, trials: Sequence[Trial]) -> DataFrame:
+    rows = [(i, str(t.parameters), float(t.score), t.stopped) for i, t in enumerate(trials)]
+    return spark.createDataFrame(rows, "trial int, parameters string, roc_auc double, stopped boolean")

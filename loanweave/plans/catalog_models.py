@@ -31,7 +31,7 @@ OVERRIDES = {
 }
 STACKED = {**OVERRIDES, "boosting_a": STACK_ROUNDS, "boosting_b": STACK_ROUNDS}
 STACK_BASES = ["logistic", "random_forest", "boosting_a", "boosting_b"]
-TRIALS = 4
+TRIALS = 6
 IDS = ["row_id", KEY, "split"]
 
 
@@ -233,10 +233,11 @@ def _(t):
 @query("ml_17_search_trials")
 def _(t):
     training = Training(t)
-    _, results = tuning.search(
-        "logistic", training.part("train"), training.features, trials=TRIALS, fixed=OVERRIDES["logistic"]
+    trials = tuning.search_trials(
+        "logistic", training.part("train"), training.features, trials=TRIALS, fixed=OVERRIDES["logistic"],
+        startup=3, batch=3, workers=3,
     )
-    return tuning.trials_table(t.spark, results)
+    return tuning.trials_table(t.spark, trials)
 
 
 @query("ml_18_predictions")

@@ -12,6 +12,7 @@ from loanweave.plans.catalog_cleaning import LOANS_CLEAN_SQL
 from loanweave.plans.catalog_metrics import rounded
 from loanweave.plans.catalog_models import FRAME_COLUMNS, FRAME_CTES, FRAME_SQL, dataset_frame
 from loanweave.plans.registry import query
+from loanweave.session import checkpointed
 
 COLUMNS = list(ORIGINATION_EXPRESSIONS)
 TEXT = {
@@ -100,9 +101,17 @@ def _(t):
     return rounded(low.select("column", "dominant_value_share"), "dominant_value_share")
 
 
+@profile_query(
+    "agg_11_dominant_any_cardinality",
+    'select "column", round(top_share, 6) as dominant_value_share from stats',
+)
+def _(t):
+    return rounded(profile.dominant_shares(_loans(t)), "dominant_value_share")
+
+
 @profile_query("agg_12_near_constant", 'select "column" from stats where top_share > 0.995')
 def _(t):
-    return profile.near_constant(profile.exact_statistics(_loans(t))).select("column")
+    return profile.near_constant(profile.dominant_shares(_loans(t))).select("column")
 
 
 @profile_query(
@@ -257,3 +266,13 @@ def _frame_column(name: str) -> str:
 )
 def _(t):
     return rounded(profile.exact_statistics(dataset_frame(t)), "null_rate", "dominant_value_share")
+
+
+@query(
+    "agg_11_dataset_dominant_share",
+    f"select \"column\", dominant_value_share from ({' union all '.join(_frame_column(n) for n in FRAME_COLUMNS)})",
+    uses="loans panel",
+    ctes=f"{FRAME_CTES}, frame as ({FRAME_SQL})",
+)
+def _(t):
+    return rounded(profile.dominant_shares(checkpointed(dataset_frame(t))), "dominant_value_share")
