@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
+from loanweave.operators.ranking import rounded_up
 from loanweave.session import ensure_checkpoint_dir
 
 #: Rows and bytes of one Arrow batch, so that a worker's memory does not depend on row length.
@@ -32,6 +33,26 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def among_smallest(df: DataFrame, hashed: Column, n: int) -> Column:
+    """A condition that the ``n`` smallest different hashes meet, and few others.
+
+    Hashes are 64 bits wide.  A histogram of at most some 1,700 rows comes to the driver;
+    nothing is sorted, and no other column moves.
+    """
+
+    def high(column: Column) -> Column:
+        return F.shiftrightunsigned(column.bitwiseXOR(F.lit(-(2**63))), 32)
+
+    different = df.select(hashed.alias("hash")).distinct()
+    sizes = different.groupBy(rounded_up(high(F.col("hash"))).alias("reach")).count()
+    reach, found = -1, 0
+    for r in sorted(sizes.collect()):
+        if found >= n:
+            break
+        reach, found = r["reach"], found + r["count"]
+    return high(hashed) <= reach
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until no column is called so."""
     taken = {c.lower() for c in df.columns}

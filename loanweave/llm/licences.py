@@ -23,7 +23,7 @@ from typing import NamedTuple
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loanweave.llm.common import annotate, as_texts, table
+from loanweave.llm.common import among_smallest, annotate, as_texts, table
 
 #: Corpus documents and paragraphs of each that serve as unknown rows of the training set.
 SAMPLE_DOCUMENTS, SAMPLE_PARAGRAPHS = 1_500, 6
@@ -366,12 +366,15 @@ def agreement(tokens: list[str], family: str) -> float:
 
 
 def classifier(docs: DataFrame, text_col: str, sample_documents: int = SAMPLE_DOCUMENTS) -> Classifier:
-    """Train on the templates and on sentences of a bounded sample of documents.
+    """Train on the templates and on sentences of a bounded sample of different documents.
 
     Sentences that follow a template are left out of the unknown rows.
     """
     sampled = docs.select(F.substring(text_col, 1, 20_000).alias("text")).where("text is not null")
-    sampled = sampled.orderBy(F.xxhash64("text"), "text").limit(sample_documents).collect()
+    hashed = F.xxhash64("text")
+    # candidates are about as many as are wanted, and copies are one
+    near = sampled.where(among_smallest(sampled, hashed, sample_documents)).groupBy(hashed.alias("hash"))
+    sampled = near.agg(F.min("text").alias("text")).orderBy("hash").limit(sample_documents).collect()
     unknown = []
     vocabulary = {w for family in TEMPLATES.values() for t in family for w in words(t)}
     for r in sampled:

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from loanweave.llm.common import annotate, stored, table
+from loanweave.llm.common import among_smallest, annotate, stored, table
 
 #: Vectors the codebooks are fitted on and the share is calibrated on, and queries used there.
 SAMPLE_ROWS, SAMPLE_QUERIES = 20_000, 300
@@ -148,7 +148,9 @@ def nearest_neighbours(
     schema = "query_id bigint, rank int, vec_id bigint, score double"
     if total == 0:
         return spark.createDataFrame([], schema)
-    taken = distinct.orderBy(F.xxhash64("key"), "key").limit(sample_rows).select("vector").toArrow()
+    hashed = F.xxhash64("key")
+    near = distinct.where(among_smallest(distinct, hashed, sample_rows))
+    taken = near.orderBy(hashed, "key").limit(sample_rows).select("vector").toArrow()
     sample = unit(_matrix(taken["vector"]))
     half = sample.shape[1] // 2
     centres = centroids_for(total)
