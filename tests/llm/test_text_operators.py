@@ -208,6 +208,29 @@ def test_shards_repeat_over_layouts_and_split_hot_keys(spark):
     assert external_shuffle.shuffle_into_shards(hot.limit(0), 5).count() == 0
 
 
+def test_shards_do_not_depend_on_the_join_strategy(spark):
+    df = spark.range(6000).select(F.col("id").alias("doc_id"))
+    runs = []
+    for threshold, partitions in (("10MB", 3), ("-1", 40), ("-1", 8)):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        runs.append(sorted(external_shuffle.shuffle_into_shards(df, 7, bucket_rows=500).collect()))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+    assert runs[0] == runs[1] == runs[2]
+
+
+def test_shards_keep_columns_of_clashing_names(spark):
+    names = ["doc_id", "shard", "Slot", "_shard", "_key", "_hot", "_bucket", "_row", "_rows", "row", "offset", "place", "n"]
+    rows = [tuple(f"{n}{i}" for n in names) for i in range(30)] + [(None,) * len(names)] * 2
+    df = spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in names))
+    out = external_shuffle.shuffle_into_shards(df, 4)
+    assert out.columns == ["doc_id", "__shard", "_Slot", *names[3:], "shard", "slot"]
+    found = out.collect()
+    assert sorted(map(str, (tuple(r)[: len(names)] for r in found))) == sorted(map(str, rows))
+    assert sorted(r.shard + 4 * r.slot for r in found) == list(range(32))
+
+
 def test_written_shards_keep_their_order(spark, tmp_path):
     df = spark.range(100).select(F.col("id").alias("doc_id"))
     sharded = external_shuffle.shuffle_into_shards(df, 4)
