@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, functions as F
 
 from loanweave.operators.learning import average_probability, predict_proba
@@ -123,6 +123,15 @@ def fit_calibrator(scored: DataFrame, method: str = "isotonic") -> Calibrator:
     return Calibrator(method, fitted)
 
 
+def save_calibrator(calibrator: Calibrator, directory: str, name: str) -> None:
+    calibrator.model.write().overwrite().save(f"{directory.rstrip('/')}/{name}_{calibrator.method}")
+
+
+def load_calibrator(directory: str, name: str, method: str = "isotonic") -> Calibrator:
+    kind = IsotonicRegressionModel if method == "isotonic" else LogisticRegressionModel
+    return Calibrator(method, kind.load(f"{directory.rstrip('/')}/{name}_{method}"))
+
+
 class CrossValidatedCalibration:
     """One model and one calibrator per fold; predictions are averaged."""
 

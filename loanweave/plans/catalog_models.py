@@ -6,20 +6,25 @@ about them (encodings, weights, scaling, the dataset itself) is compared.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from loanweave.columns import CATEGORICAL_FEATURES, DROP_FEATURES, KEY, TIME
-from loanweave.operators import calibration, importance, learning, preparation, splits, tuning
+from loanweave.operators import (
+    calibration, cleaning, features, importance, learning, loans, preparation, splits, target, tuning,
+)
 from loanweave.operators.preparation import LABEL
-from loanweave.plans import dataset
+from loanweave.plans import customers, dataset, modelling
 from loanweave.plans.adapters import ORIGINATION_EXPRESSIONS
 from loanweave.plans.catalog_cleaning import LOANS_CLEAN_SQL
 from loanweave.plans.catalog_metrics import rounded
 from loanweave.plans.catalog_panel import _ISLANDS, _SPLIT, ALL_FEATURES, ALL_FEATURES_SQL, W, rounded_features, target_sql
 from loanweave.plans.registry import query, r6
-from loanweave.session import checkpointed
+from loanweave.session import checkpointed, ensure_checkpoint_dir
+from loanweave.sources import layers
 
 # The registered queries bound the iterations of the fits, so that all of them run in minutes
 # on one machine; the library's defaults are higher.  Rows, features, folds, trees of the
@@ -318,3 +323,31 @@ def _(t):
     training = Training(t)
     model = training.fit("logistic")
     return learning.score_customers(model, training.part("test"), "logistic", "row_id")
+
+
+# ---------------------------------------------------------------- jobs
+
+JOB = modelling.Modelling(
+    models=("logistic", "random_forest"), overrides={"logistic": OVERRIDES["logistic"]}, patience=PATIENCE
+)
+
+
+def modelling_root(t, plan: modelling.Modelling) -> str:
+    """Target and dataset tables of one directory, and the modelling job run over them."""
+    root = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/job-{uuid.uuid4().hex}"
+    rows = features.create_all_features(*cleaning.clean_both(t.loans(), t.panel()))
+    labelled = loans.select_model_columns(layers.write_layer(target.create_target(rows), f"{root}/target"))
+    layers.write_layer(splits.split_out_of_time(labelled), f"{root}/dataset", layers.Layout(partition_by=("split",)))
+    dataset.run_stages(modelling.model_stages(t.spark, root, plan))
+    return root
+
+
+@query("ml_25_modelling_job")
+def _(t):
+    return layers.read_layer(t.spark, f"{modelling_root(t, JOB)}/reports/model_results")
+
+
+@query("ml_26_customer_job")
+def _(t):
+    stages = customers.customer_stages(t.spark, modelling_root(t, JOB))
+    return dataset.run_stages(stages)["score"]
