@@ -2,7 +2,7 @@
 
 import math
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -374,3 +374,23 @@ def test_pipeline_stage_by_stage(spark):
 def test_pipeline_runs_from_end_to_end(spark):
     assert [len(s) for s in corpus_pipeline.STAGES] == [2] * 5
     assert corpus_pipeline.run(spark, SF).count() > 100
+
+
+def test_stages_keep_odd_rows_and_columns_of_clashing_names(spark):
+    extra = ["score", "Items", "runs", "n_words", "secrets", "candidates", "_row", "_owner", "_own_score", "ids", "decoded", "n"]
+    docs = table(spark, SF, "documents").limit(40)
+    odd = docs.limit(1).select(*[F.lit(None).cast(t).alias(n) for n, t in docs.dtypes])
+    named = docs.unionByName(docs.limit(2)).unionByName(odd.withColumn("doc_id", F.lit(-1).cast("long"))).unionByName(odd)
+    named = named.select("*", *[F.concat(F.lit(f"{n} "), F.coalesce(F.col("doc_id"), F.lit(0))).alias(n) for n in extra])
+    ids = Counter(r.doc_id for r in named.select("doc_id").collect())
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, named, SF)
+        rows, last = out.collect(), name == corpus_pipeline.STAGES[-1][0]
+        found = Counter(r.doc_id for r in rows)
+        assert all(found[i] in (0, n) for i, n in ids.items()) and set(found) <= set(ids), name
+        if not last:
+            assert out.columns == named.columns, name
+            assert all(r[n] == f"{n} {r.doc_id or 0}" for r in rows for n in extra), name
+        if "secret" in name or last:
+            assert found == ids
+        assert stage(spark, named.limit(0), SF).count() == 0
