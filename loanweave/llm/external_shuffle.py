@@ -54,9 +54,10 @@ def shuffle_into_shards(
     repeated = (
         rows.groupBy("_key").count().where(F.col("count") > bucket_rows // 4).select("_key", F.lit(True).alias("_hot"))
     )
-    # hot keys: at most four per bucket, so this side has fewer rows than there are buckets x 4
+    # hot keys: at most four per bucket, so this side has fewer rows than there are buckets x 4,
+    # and its broadcast spares the rows a shuffle of their own
     scattered = (
-        rows.join(repeated, "_key", "left")
+        rows.join(F.broadcast(repeated), "_key", "left")
         .withColumn("_spread", F.when(F.col("_hot"), F.monotonically_increasing_id()).otherwise(F.lit(0)))
         .withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "_key", "_spread"), F.lit(buckets)))
         .select("_bucket", F.struct("_key", "_record").alias("_row"))
@@ -102,12 +103,12 @@ def write_shards(sharded: DataFrame, path: str) -> None:
 
 
 def digests(spark: SparkSession, directory: str) -> DataFrame:
-    """Shard and slot of every document of a directory."""
+    """Shard and slot of every document of a directory; the texts go through the shuffle whole."""
+    docs = table(spark, directory, "documents")
+    docs = docs.withColumn(extra := unused(docs, "_bytes"), F.length(F.coalesce(F.col("text"), F.lit("")).cast("binary")) + 8)
+    sharded = shuffle_into_shards(docs, 24, key_cols=("doc_id", "text"), size_col=extra)
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    docs = table(spark, directory, "documents").select(
-        "doc_id", (F.length(body) + 8).cast("long").alias("size"), F.crc32(body).alias("text_crc32")
-    )
-    sharded = shuffle_into_shards(docs, 24, key_cols=("doc_id", "text_crc32"))
     return sharded.select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+        "doc_id", (F.length(body) + 8).cast("long").alias("size"), F.crc32(body).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
     )

@@ -231,6 +231,22 @@ def test_shards_keep_columns_of_clashing_names(spark):
     assert sorted(r.shard + 4 * r.slot for r in found) == list(range(32))
 
 
+def test_the_shuffle_query_moves_whole_documents(spark, monkeypatch):
+    moved, shuffle = [], external_shuffle.shuffle_into_shards
+
+    def seen(df, *args, **options):
+        moved.append(shuffle(df, *args, **options))
+        return moved[-1]
+
+    monkeypatch.setattr(external_shuffle, "shuffle_into_shards", seen)
+    out = {r.doc_id: (r.shard, r.slot, r.size) for r in external_shuffle.digests(spark, SF).collect()}
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    texts = {r.doc_id: (r.text, r.shard, r.slot) for r in moved[0].select("doc_id", "text", "shard", "slot").collect()}
+    assert {k: t[0] for k, t in texts.items()} == docs
+    assert {k: (*t[1:], len((t[0] or "").encode()) + 8) for k, t in texts.items()} == out
+
+
+
 def test_written_shards_keep_their_order(spark, tmp_path):
     df = spark.range(100).select(F.col("id").alias("doc_id"))
     sharded = external_shuffle.shuffle_into_shards(df, 4)
