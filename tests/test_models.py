@@ -1,5 +1,7 @@
 """Invariants of fitted models on a small table with a known signal."""
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,6 +80,29 @@ def test_stack_is_one_saved_pipeline(table, tmp_path):
     assert len(weights) == 2
 
 
+def test_fits_of_a_stack_run_side_by_side(table, monkeypatch):
+    fit, held, running, most = learning.fit_prepared, threading.Lock(), [], []
+
+    def counted(*args, **options):
+        with held:
+            running.append(1)
+            most.append(len(running))
+        try:
+            return fit(*args, **options)
+        finally:
+            with held:
+                running.pop()
+
+    monkeypatch.setattr(learning, "fit_prepared", counted)
+    bases, found = ["logistic", "random_forest"], []
+    for workers in (1, 4):
+        most.clear()
+        model = learning.fit_stack(bases, table, FEATURES, overrides=QUICK, workers=workers)
+        assert len(most) == 8 and (max(most) > 1) == (workers > 1)
+        found.append(auc(learning.predict_proba(model, table)))
+    assert found[0] == pytest.approx(found[1])
+
+
 def test_single_base_model_is_returned_alone(table):
     model = learning.fit_stack(["logistic", "boosting_c"], table, FEATURES, overrides=QUICK)
     assert auc(learning.predict_proba(model, table)) > 0.85
