@@ -118,6 +118,19 @@ def test_permutation_importance_finds_the_signal(table):
     assert abs(got["weak"]["importance"]) < 0.05
 
 
+def test_permutation_prepares_a_row_once(table, monkeypatch):
+    model = learning.fit_model("logistic", table, FEATURES, QUICK["logistic"])
+    assert importance.prepares_by_feature(model, FEATURES)
+    ask = lambda: rows(importance.permutation_importance(model, table, FEATURES, "id", repeats=2), "feature")
+    with monkeypatch.context() as m:
+        m.setattr(importance, "predict_proba", None)  # the copies do not go through the whole pipeline
+        quick = ask()
+    monkeypatch.setattr(importance, "prepares_by_feature", lambda *_: False)
+    for a, b in zip(quick, ask(), strict=True):
+        assert a["feature"] == b["feature"]
+        assert (a["importance"], a["deviation"]) == pytest.approx((b["importance"], b["deviation"]))
+
+
 def test_search_returns_its_best_trial_and_fails_loudly(table):
     best, results = tuning.search("logistic", table, FEATURES, trials=2, fixed={"max_iter": 20})
     assert best == max(results, key=lambda r: r[1])[0]
