@@ -1,5 +1,7 @@
 """The modelling and customer jobs, from written tables to reports."""
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,3 +156,16 @@ def test_customers_are_sampled_scored_and_validated(spark, root, tmp_path):
     assert {"reports/model_results", "reports/customer_metrics", "customers/predictions", "scores"} <= set(exported)
     back = spark.read.option("header", True).csv(str(tmp_path / "csv/customers/predictions"))
     assert back.count() == predictions.count() and back.columns == predictions.columns
+
+
+def test_models_and_stack_are_fitted_side_by_side(spark, tmp_path, monkeypatch):
+    root, together = str(tmp_path), threading.Barrier(3, timeout=60)
+    layers.write_layer(spark.createDataFrame([("train", 1.0, 2.0)], "split string, label double, x double"), f"{root}/sample")
+    layers.write_layer(spark.createDataFrame([(0, "x", "numeric")], "position int, column string, role string"), f"{root}/columns")
+    # each fit waits until the other two have begun
+    monkeypatch.setattr(learning, "fit_model", lambda name, *_, **__: together.wait() and name)
+    monkeypatch.setattr(learning, "fit_stack", lambda *_, **__: together.wait())
+    monkeypatch.setattr(learning, "save_model", lambda *_: None)
+    plan = modelling.Modelling(models=("logistic", "random_forest"))
+    saved = modelling.model_stages(spark, root, plan)["train"]().orderBy("position").collect()
+    assert [r.model for r in saved] == ["logistic", "random_forest", modelling.STACK]
