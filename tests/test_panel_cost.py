@@ -68,3 +68,17 @@ def test_vintages_outside_of_both_periods_have_no_split(spark):
     ids = spark.createDataFrame([("F98Q10000001",), ("F99Q10000001",), ("F12Q10000001",), ("F13Q10000001",), ("FxxQ10000001",), (None,)], f"{KEY} string")
     assert {r[KEY][1:3]: r["split"] == "test" for r in splits.split_out_of_time(ids).collect()} == {"99": False, "12": True}
     assert [r[KEY][1:3] for r in splits.split_out_of_time(ids, century_pivot=None).collect()] == ["12"]
+
+
+def test_sessions_do_not_fuse_code_that_is_never_compiled(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "65535")
+        Tables(spark, SF)
+        assert int(spark.conf.get(name)) == COMPILED
+        spark.conf.set(name, "4000")
+        Tables(spark, SF)
+        assert spark.conf.get(name) == "4000"
+    finally:
+        spark.conf.set(name, before)
