@@ -3,9 +3,11 @@
 import re
 
 import pytest
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
 
 from loanweave.columns import KEY
-from loanweave.operators import features, splits, target
+from loanweave.operators import features, learning, splits, target
 from loanweave.plans import dataset
 from loanweave.plans.adapters import ORIGINATION_EXPRESSIONS, PERFORMANCE_EXPRESSIONS, Tables, spark_listing
 
@@ -82,3 +84,14 @@ def test_sessions_do_not_fuse_code_that_is_never_compiled(spark):
         assert spark.conf.get(name) == "4000"
     finally:
         spark.conf.set(name, before)
+
+
+def test_the_forest_keeps_the_nodes_of_its_rows(spark):
+    rows = spark.range(600).select(
+        (F.col("id") % 2).cast("double").alias("label"), F.lit(1.0).alias("weight"),
+        array_to_vector(F.array((F.col("id") % 2 + F.col("id") % 7).cast("double"), (F.col("id") % 5).cast("double"))).alias("features"),
+    )
+    forest = learning._forest({**learning.parameters("random_forest"), "n_estimators": 5}, 600.0, "", 42)
+    assert forest.getCacheNodeIds()
+    walked = forest.copy({forest.cacheNodeIds: False}).fit(rows)
+    assert forest.fit(rows).toDebugString.split("\n")[1:] == walked.toDebugString.split("\n")[1:]
