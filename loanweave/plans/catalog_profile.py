@@ -12,7 +12,6 @@ from loanweave.plans.catalog_cleaning import LOANS_CLEAN_SQL
 from loanweave.plans.catalog_metrics import rounded
 from loanweave.plans.catalog_models import FRAME_COLUMNS, FRAME_CTES, FRAME_SQL, dataset_frame
 from loanweave.plans.registry import query
-from loanweave.session import checkpointed
 
 COLUMNS = list(ORIGINATION_EXPRESSIONS)
 TEXT = {
@@ -275,4 +274,5 @@ def _(t):
     ctes=f"{FRAME_CTES}, frame as ({FRAME_SQL})",
 )
 def _(t):
-    return rounded(profile.dominant_shares(checkpointed(dataset_frame(t))), "dominant_value_share")
+    shares = profile.exact_statistics(dataset_frame(t)).select("column", "dominant_value_share")
+    return rounded(shares, "dominant_value_share")
