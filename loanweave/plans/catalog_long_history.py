@@ -12,6 +12,7 @@ from loanweave.columns import KEY, TIME
 from loanweave.operators import long_history
 from loanweave.plans.catalog_panel import JOINED_SQL, MONTH, sql_hash
 from loanweave.plans.registry import query, r6
+from loanweave.session import checkpointed
 
 MAX_ROWS = 100
 
@@ -48,9 +49,10 @@ DOUBLES = ["rolling_avg_balance_6m", "prev_interest_rate"]
 
 
 def _pooled(t):
-    return t.joined().withColumn("row_id", F.concat_ws("|", KEY, TIME)).withColumn(
+    """Written once: counting the keys, positions and carries read the rows several times."""
+    return checkpointed(t.joined().withColumn("row_id", F.concat_ws("|", KEY, TIME)).withColumn(
         KEY, F.substring(KEY, 1, 3)
-    )
+    ))
 
 
 @query(
