@@ -18,6 +18,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
+from loanweave.columns import TARGET
 from loanweave.functions.history import History
 from loanweave.operators import features, target
 from loanweave.operators.long_history import TRAILING_ROWS
@@ -108,21 +109,23 @@ def advance(
     both = tail.select(*feature_columns, *carries, "_position", "_own").unionByName(
         made.select(*feature_columns, *carries, "_position", "_own")
     ).withColumns({"_segment": F.lit(0), "_new": F.col("_own"), "_own": F.lit(True)})
-    ahead = target.add_lookahead(both, threshold, lookahead, inside)
+    last = F.max("_position").over(Window.partitionBy(key, "_segment"))
+    ahead = target.add_lookahead(both, threshold, lookahead, inside).withColumn("_left", last - F.col("_position"))
     labelled = target.keep_before_first_default(target.keep_observable(ahead), threshold, lookahead, inside)
     return Advance(
         made.select(*feature_columns),
-        labelled.drop(*carries, "_position", "_own", "_segment", "_new"),
+        labelled.drop(*carries, "_position", "_own", "_segment", "_new", "_left"),
         both.select(key, time),
         _next_state(ahead, feature_columns, history, threshold, kept_rows),
     )
 
 
-def _next_state(ahead: DataFrame, feature_columns: Sequence[str], history: History, threshold: int, kept_rows: int) -> DataFrame:
-    """Per loan: its last rows, and what all rows before them and the running features add up to."""
+def _next_state(rows: DataFrame, feature_columns: Sequence[str], history: History, threshold: int, kept_rows: int) -> DataFrame:
+    """Per loan: its last rows, and what all rows before them and the running features add up to.
+
+    ``_left`` is the number of rows that follow a row.
+    """
     key, time = history.key, history.time
-    whole = Window.partitionBy(key, "_segment")
-    rows = ahead.withColumn("_left", F.max("_position").over(whole) - F.col("_position"))
     maxima, sums = features.running_values(replace(history, position="_position"))
     settled = target.observable() & (F.col("_left") >= kept_rows)
     in_default = F.when(F.col("delinquency_days") >= threshold, 1).otherwise(0)
@@ -148,15 +151,23 @@ def _next_state(ahead: DataFrame, feature_columns: Sequence[str], history: Histo
 def state_of(
     rows: DataFrame, history: History = History(), threshold: int = target.THRESHOLD_DAYS, lookahead: int = target.LOOKAHEAD,
 ) -> DataFrame:
-    """The state after a features table that was built whole."""
-    inside = replace(history, segment="_segment", position="_position")
+    """The state after a features table that was built whole.
+
+    All its windows are one step in the order of the features, so wide rows are copied once more
+    and not sorted again.
+    """
     maxima, sums = _carried(history)
     kinds = dict(rows.dtypes)
     kind = {"last_delinquent_month": kinds[history.time], "last_modification_month": kinds[history.time], "last_clear": "bigint"}
     none = {f"_carry_{n}": F.lit(None).cast(kind.get(n, "int")) for n in (*maxima, "cumulative_delinquency")}
     none |= {f"_carry_{n}": F.lit(None).cast("bigint") for n in (*sums, "row_num")}
-    numbered = rows.withColumns({"_position": F.row_number().over(history.ordered).cast("bigint"), "_segment": F.lit(0), "_own": F.lit(True), "_new": F.lit(True), **none})
-    ahead = target.add_lookahead(numbered, threshold, lookahead, inside)
+    all_rows = history.ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    position = F.row_number().over(history.ordered).cast("bigint")
+    numbered = rows.withColumns(target.status_columns()).withColumns({
+        "_position": position, "_left": F.count(F.lit(1)).over(all_rows) - position,
+        **target.lookahead_windows(threshold, lookahead, history),
+    })
+    ahead = numbered.withColumns({TARGET: F.col("future_delinquency_max"), "_new": F.lit(True), **none})
     return _next_state(ahead, rows.columns, history, threshold, max(TRAILING_ROWS, lookahead))
 
 

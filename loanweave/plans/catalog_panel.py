@@ -343,10 +343,12 @@ ADDED_AFTER = "199812"
 
 def added_months(t):
     """The state of the earlier months, written once, and what the later months add to it."""
-    joined = checkpointed(t.joined())
-    earlier = features.history_features(joined.filter(F.col(TIME) <= ADDED_AFTER))
+    loans_, panel = t.clean()
+    panel = checkpointed(panel)
+    earlier = features.features_joined_last(loans_, panel.filter(F.col(TIME) <= ADDED_AFTER))
     state = checkpointed(incremental.state_of(earlier))
-    return earlier, incremental.advance(state, joined.filter(F.col(TIME) > ADDED_AFTER), joined.columns)
+    later = features.join_static(panel.filter(F.col(TIME) > ADDED_AFTER), loans_)
+    return earlier, incremental.advance(state, later, later.columns)
 
 
 @panel_query("drv_12_added_months", ALL_FEATURES_SQL, extra=_ISLANDS, source="islands")
